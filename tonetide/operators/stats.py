@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 
 from tonetide.functions import histogram_bins
 from tonetide.operators.vocabulary import Vocabulary
-from tonetide.schemas import QUANTILE_PROBS, THEME_DAY_KEYS
+from tonetide.schemas import HISTOGRAM_BINS, QUANTILE_PROBS, THEME_DAY_KEYS
 
-# A group is cut into pieces if its distinct tones number more than this ...
+# Groups with at most this many distinct tones stay whole.
 HOT_FLOOR = 1_000_000
-# ... and more than one in this many of all of them. At most HOT_SHARE groups can
-# exceed that, which bounds the table of cuts by construction.
-HOT_SHARE = 10_000
-# Most pieces a group is cut into.
+# Of the others the largest HOT_GROUPS are cut. Any group beyond them holds at most
+# one in HOT_GROUPS of all distinct tones, less than a task's share on a large
+# cluster, and stays whole too.
+HOT_GROUPS = 4_000
+# Most pieces of one group. With HOT_GROUPS it bounds what is broadcast.
 MAX_PIECES = 1_000
 
 _SKETCH_ACCURACY = 10 * MAX_PIECES
@@ -57,7 +58,6 @@ def tone_stats(
     weight: str | None = None,
     probs: Sequence[float] = QUANTILE_PROBS,
     hot_floor: int = HOT_FLOOR,
-    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """``num_mentions``, ``avg``, ``quantiles`` and ``bin_vals`` per group.
 
@@ -67,133 +67,142 @@ def tone_stats(
     values = collect_tones(df, keys, tone, weight).withColumnsRenamed(
         {tone: "_tone", "num_mentions": "_n"}
     )
-    # An outer join rather than a semi and an anti join: those would be pushed
-    # below the aggregation, and the shuffle of `values` could not be shared.
-    marked = values.join(F.broadcast(_cuts(values, keys, hot_floor, hot_share)), keys, "left")
-    whole = _ranked(marked.where(F.col("_cuts").isNull()), keys)
-    pieces = _ranked_in_pieces(marked.where(F.col("_cuts").isNotNull()), keys)
-    return _collapse(whole, keys, probs).unionByName(_collapse(pieces, keys, probs))
-
-
-def _cuts(values: DataFrame, keys: list[str], hot_floor: int, hot_share: int) -> DataFrame:
-    """Cut tones (``_cuts``) and total weight (``_all``) of the hot groups."""
-    # The comparison always holds. It keeps the weight column in every reader of
-    # `values`, so that all of them share one shuffle.
-    sizes = (
+    ranked = _ranked(values, _hot_groups(values, keys, hot_floor), keys)
+    return ranked.groupBy(*keys).agg(*_aggregates(probs)).select(*keys, *_results(probs))
+
+
+def _hot_groups(values: DataFrame, keys: list[str], hot_floor: int) -> DataFrame:
+    """The groups to cut, one row each.
+
+    ``_pieces`` lists their pieces in tone order: the largest tone of the piece
+    (``cut``, NULL for the last) and the weight of the pieces before it
+    (``below``). ``_total`` is the weight of the group.
+
+    Every reader of ``values`` looks at its weight column, if only in a condition
+    that always holds, so that all of them share one shuffle.
+    """
+    hot = (
         values.groupBy(*keys)
-        .agg(F.count("*").alias("_distinct"), F.sum("_n").alias("_all"))
-        .where(F.col("_all") >= F.col("_distinct"))
-    )
-    limit = sizes.agg(
-        F.greatest(F.lit(float(hot_floor)), F.sum("_distinct") / hot_share)
-    ).scalar()
-    hot = sizes.where(F.col("_distinct") > limit).withColumn(
-        "_pieces", F.least(F.ceil(F.col("_distinct") / limit), F.lit(MAX_PIECES))
+        .agg(F.count("*").alias("_distinct"), F.sum("_n").alias("_total"))
+        .where(F.expr(f"_distinct > {hot_floor} AND _total >= _distinct"))
+        .orderBy(F.desc("_distinct"))
+        .limit(HOT_GROUPS)
     )
+    # One string constant instead of a thousand literals keeps the plan small.
+    probs = F.split(F.lit(" ".join(str(i / MAX_PIECES) for i in range(1, MAX_PIECES))), " ")
     marks = F.percentile_approx(
-        F.when((F.col("_n") > 0) & ~F.isnan("_tone"), F.col("_tone")),
-        [i / MAX_PIECES for i in range(1, MAX_PIECES)],
+        F.expr("CASE WHEN _n > 0 AND NOT isnan(_tone) THEN _tone END"),
+        probs.cast("array<double>"),
         _SKETCH_ACCURACY,
     )
-    sketched = (
-        values.join(F.broadcast(hot), keys)
+    # Marks lie 1/MAX_PIECES apart; keep as many as the size of the group calls for.
+    step = f"{MAX_PIECES} div least(_distinct div {hot_floor} + 1, {MAX_PIECES})"
+    cut = (
+        _with_group(values, hot, keys, "inner")
         .groupBy(*keys)
-        .agg(marks.alias("_marks"), F.max("_pieces").alias("_pieces"), F.max("_all").alias("_all"))
+        .agg(marks.alias("_marks"), F.max("_distinct").alias("_distinct"))
+        .select(
+            *keys,
+            F.expr(f"array_distinct(filter(_marks, (m, i) -> (i + 1) % ({step}) = 0)) AS _cuts"),
+        )
     )
-    step = F.floor(F.lit(MAX_PIECES) / F.col("_pieces"))
-    cuts = F.filter("_marks", lambda mark, i: (i + 1) % step == 0)
-    no_cut = F.array().cast("array<double>")
-    return sketched.select(*keys, F.coalesce(F.array_distinct(cuts), no_cut).alias("_cuts"), "_all")
-
-
-def _ranked(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Running and total weight of every group in tone order."""
     group = Window.partitionBy(*keys)
-    running = group.orderBy("_tone").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return values.select(
-        *keys,
-        "_tone",
-        "_n",
-        F.sum("_n").over(running).alias("_upto"),
-        F.sum("_n").over(group).alias("_all"),
+    before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        _with_group(values, cut, keys, "inner")
+        .withColumn("_piece", F.expr("size(filter(_cuts, cut -> cut < _tone))"))
+        .groupBy(*keys, "_piece", F.get("_cuts", F.col("_piece")).alias("cut"))
+        .agg(F.sum("_n").alias("_weight"))
+        # From here on a group has at most MAX_PIECES rows.
+        .withColumn("below", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
+        .groupBy(*keys)
+        .agg(
+            F.array_sort(F.collect_list(F.struct("_piece", "cut", "below"))).alias("_pieces"),
+            F.sum("_weight").alias("_total"),
+        )
     )
 
 
-def _ranked_in_pieces(values: DataFrame, keys: list[str]) -> DataFrame:
-    """As :func:`_ranked`, with one window per piece of a group."""
-    piece = F.size(F.filter("_cuts", lambda cut: cut < F.col("_tone")))
-    values = values.select(*keys, piece.alias("_piece"), "_tone", "_n", "_all")
-    part = [*keys, "_piece"]
-    # A group has at most MAX_PIECES pieces, so this window is small.
-    lower = (
-        Window.partitionBy(*keys)
-        .orderBy("_piece")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        values.groupBy(*part)
-        .agg(F.sum("_n").alias("_in_piece"))
-        .select(*part, F.coalesce(F.sum("_in_piece").over(lower), F.lit(0)).alias("_below"))
-    )
-    running = (
-        Window.partitionBy(*part)
-        .orderBy("_tone")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _with_group(values: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Add the columns of a table of at most HOT_GROUPS groups to its tones.
+
+    Null-safe, as a group may be keyed by NULL; besides, plain equality would have
+    NULL keys filtered out of ``values`` in some of its readers and not in others.
+    """
+    right = groups.withColumnsRenamed({key: f"_group_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_group_{key}")) for key in keys]
+    return values.join(F.broadcast(right), same, how).drop(*[f"_group_{key}" for key in keys])
+
+
+def _ranked(values: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct tones with the running (``_upto``) and total (``_all``) weight of their group.
+
+    A group that is not hot is one piece with nothing below it.
+    """
+    placed = (
+        _with_group(values, hot, keys, "left")
+        .withColumn("_piece", F.expr("size(filter(_pieces, p -> p.cut < _tone))"))
+        .select(
+            *keys,
+            "_tone",
+            "_n",
+            F.expr("coalesce(_piece, 0) AS _piece"),
+            F.expr("coalesce(get(_pieces, _piece).below, 0) AS _below"),
+            "_total",
+        )
     )
-    return values.join(offsets, part).select(
+    part = Window.partitionBy(*keys, "_piece")
+    running = part.orderBy("_tone").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return placed.select(
         *keys,
         "_tone",
         "_n",
         (F.col("_below") + F.sum("_n").over(running)).alias("_upto"),
-        "_all",
+        F.coalesce("_total", F.sum("_n").over(part)).alias("_all"),
     )
 
 
-def _collapse(ranked: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """One row per group from the ranked tones."""
-    tone, n = F.col("_tone"), F.col("_n")
-
-    def tone_at(position: Column) -> Column:
-        covers = (F.col("_upto") - n <= position) & (position < F.col("_upto"))
-        return F.max(F.when(covers, tone))
-
-    ends = []
-    for i, p in enumerate(probs):
-        position = (F.col("_all") - 1) * F.lit(p)
-        ends += [
-            tone_at(F.floor(position)).alias(f"_low{i}"),
-            tone_at(F.ceil(position)).alias(f"_high{i}"),
-        ]
+def _aggregates(probs: Sequence[float]) -> list[Column]:
+    """What one group of ranked tones adds up to."""
+    n = F.col("_n")
+    # A tone covers the positions [_upto - _n, _upto); a quantile lies between two.
+    ends = [
+        F.expr(
+            f"max(CASE WHEN _upto > {side}((_all - 1) * {p}D) "
+            f"AND _upto - _n <= {side}((_all - 1) * {p}D) THEN _tone END) AS _{side}{i}"
+        )
+        for i, p in enumerate(probs)
+        for side in ("floor", "ceil")
+    ]
     cells = [
         F.sum(F.when(cell, n).otherwise(0)).alias(f"_bin{i}")
-        for i, cell in enumerate(histogram_bins(tone))
+        for i, cell in enumerate(histogram_bins(F.col("_tone")))
     ]
-    grouped = ranked.groupBy(*keys).agg(
+    return [
         F.sum(n).alias("num_mentions"),
-        F.sum(tone * n).alias("_sum"),
-        F.max(F.isnan(tone)).alias("_nan"),
+        F.sum(F.col("_tone") * n).alias("_sum"),
+        F.max(F.isnan("_tone")).alias("_nan"),
         *ends,
         *cells,
-    )
+    ]
 
-    def quantile(i: int, p: float) -> Column:
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        position = (F.col("num_mentions") - 1) * F.lit(p)
-        share = position - F.floor(position)
-        between = F.when(low == high, low).otherwise((1 - share) * low + share * high)
-        return F.when(F.col("_nan"), F.lit(float("nan"))).otherwise(between)
 
-    return grouped.select(
-        *keys,
-        "num_mentions",
-        (F.col("_sum") / F.col("num_mentions")).alias("avg"),
-        F.array(*[quantile(i, p) for i, p in enumerate(probs)])
-        .cast("array<float>")
-        .alias("quantiles"),
-        F.array(*[F.col(f"_bin{i}") for i in range(len(cells))])
-        .cast("array<int>")
-        .alias("bin_vals"),
+def _results(probs: Sequence[float]) -> list[Column]:
+    """The columns of a result row, from the sums of :func:`_aggregates`."""
+    quantiles = ", ".join(
+        f"""CASE WHEN _nan THEN double('NaN')
+                 WHEN _floor{i} = _ceil{i} THEN _floor{i}
+                 ELSE (1 - ((num_mentions - 1) * {p}D) % 1) * _floor{i}
+                      + ((num_mentions - 1) * {p}D) % 1 * _ceil{i} END"""
+        for i, p in enumerate(probs)
     )
+    cells = ", ".join(f"_bin{i}" for i in range(HISTOGRAM_BINS + 2))
+    return [
+        F.col("num_mentions"),
+        F.expr("_sum / num_mentions AS avg"),
+        F.expr(f"cast(array({quantiles}) AS array<float>) AS quantiles"),
+        F.expr(f"cast(array({cells}) AS array<int>) AS bin_vals"),
+    ]
 
 
 def tone_stats_multi(
