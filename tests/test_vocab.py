@@ -1,0 +1,132 @@
+"""Counting, ranking, filtering, and the three lists."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+
+from tonetide import plans
+from tonetide.functions import clean_theme
+from tonetide.operators import clean_codes, filter_to_vocab, top_k
+from tonetide.schemas import MANUAL_TAXONOMY_WORDS
+from tonetide.sources import read_vocab, small_list, write_vocab
+
+
+def counts(spark, table):
+    return spark.createDataFrame(list(table.items()), "theme string, n bigint")
+
+
+def ranked(df):
+    return {tuple(row) for row in df.collect()}
+
+
+def test_empty_key_takes_its_rank(spark):
+    table = counts(spark, {"": 9, "A": 7, "B": 7, "C": 5})
+    assert ranked(top_k(table, "theme", "n", 2)) == {("A", 7, 2), ("B", 7, 2)}
+    assert ranked(top_k(table, "theme", "n", 1)) == set()
+    assert ranked(top_k(table, "theme", "n", 4)) == {("A", 7, 2), ("B", 7, 2), ("C", 5, 4)}
+
+
+def test_rank_against_plain_python(spark):
+    rng = random.Random(3)
+    table = {f"k{i}": rng.randint(1, 60) for i in range(500)}
+    order = sorted(table.values(), reverse=True)
+    for k in (1, 10, 137, 1000):
+        want = {
+            (key, n, order.index(n) + 1) for key, n in table.items() if order.index(n) + 1 <= k
+        }
+        assert ranked(top_k(counts(spark, table), "theme", "n", k)) == want
+
+
+def test_everything_tied(spark):
+    table = counts(spark, {f"k{i}": 1 for i in range(1000)})
+    assert top_k(table, "theme", "n", 5).count() == 1000
+
+
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_filter_to_vocab(spark, as_frame):
+    words = ["A", "C", "A"]
+    vocab = spark.createDataFrame([(w,) for w in words], "w string") if as_frame else words
+    df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), (None, 4)], "t string, i int")
+    assert sorted(r.i for r in filter_to_vocab(df, "t", vocab).collect()) == [1, 2]
+
+
+def test_joined_taxonomy_cleans_like_a_list(spark):
+    rng = random.Random(9)
+    pieces = ["WB", "TAX", "A", "B2", "", ",", ",9", "3", "C,D"]
+    codes = {"_".join(rng.choices(pieces, k=rng.randint(1, 5))) for _ in range(600)}
+    df = spark.createDataFrame([(c,) for c in codes], "code string")
+    words = ["WB", "TAX", "TAX"]
+    taxonomy = spark.createDataFrame([(w,) for w in words], "w string")
+    by_join = {r.code: r.theme for r in clean_codes(df, taxonomy).collect()}
+    by_list = {
+        r.code: r.theme
+        for r in df.select("code", clean_theme(df.code, words).alias("theme")).collect()
+    }
+    assert by_join == by_list
+    assert len(by_join) == len(codes) == clean_codes(df, taxonomy).count()
+    assert {r.code: r.theme for r in clean_codes(df, None).collect()} == {c: c for c in codes}
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rows = [
+        ("s1", ["TAX_A", "TAX_B,4", "TAX", "WB_1_C"]),
+        ("s1", ["TAX_A", "TAX_A", "A"]),
+        ("s2", ["WB_1_D", ""]),
+        ("s2", []),
+        ("", ["WB_1_D", "TAX_WB"]),
+        ("s3", ["A"]),
+    ]
+    return spark.createDataFrame(
+        [(s, str(i), t) for i, (s, t) in enumerate(rows)],
+        "src_common_name string, doc_id string, themes array<string>",
+    )
+
+
+def test_taxonomy_words_count_distinct_codes(documents):
+    words = plans.taxonomy_words(documents, min_count=2)
+    assert ranked(words) == {("TAX", 3), ("WB", 3)}
+    more = plans.taxonomy_words(documents, min_count=3, extra=["X", "TAX", "X"])
+    assert ranked(more) == {("TAX", 3), ("WB", 3), ("X", 0)}
+    assert len(MANUAL_TAXONOMY_WORDS) == 7
+
+
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_top_themes(spark, documents, as_frame):
+    words = ["TAX", "WB"]
+    taxonomy = spark.createDataFrame([(w,) for w in words], "w string") if as_frame else words
+    plain = Counter({"A": 5, "B": 1, "TAX": 1, "C": 1, "D": 2, "": 2})
+    got = plans.vocab_jobs.theme_counts(documents, taxonomy)
+    assert {r.theme: r.num_mentions for r in got.collect()} == plain
+    assert ranked(plans.top_themes(documents, taxonomy, k=2)) == {("A", 5, 1), ("D", 2, 2)}
+
+
+def test_top_sources(documents):
+    assert ranked(plans.top_sources(documents, k=2)) == {("s1", 2, 1), ("s2", 2, 1)}
+    assert ranked(plans.top_sources(documents, k=3)) == {
+        ("s1", 2, 1),
+        ("s2", 2, 1),
+        ("s3", 1, 3),
+    }
+
+
+def test_list_round_trip(spark, documents, tmp_path):
+    path = str(tmp_path / "words")
+    write_vocab(plans.taxonomy_words(documents, min_count=2), path)
+    assert sorted(small_list(read_vocab(spark, path, "first_two_themes"))) == ["TAX", "WB"]
+    assert len(list((tmp_path / "words").glob("*.csv"))) == 1
+
+
+def test_list_with_a_leading_index(spark, tmp_path):
+    path = tmp_path / "list.csv"
+    path.write_text(",theme,num_mentions,rank\n0,LEADER,7,2\n1,EDUCATION,5,3\n")
+    assert small_list(read_vocab(spark, str(path), "theme")) == ["LEADER", "EDUCATION"]
+
+
+def test_long_list_stays_a_frame(spark):
+    df = spark.range(20).selectExpr("cast(id AS string) AS w")
+    assert small_list(df, 19) is df
+    assert len(small_list(df, 20)) == 20
