@@ -1,0 +1,191 @@
+"""Joins with copies and hot keys, and whole runs, against a plain-Spark statement."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tonetide import __main__ as cli
+from tonetide import plans
+from tonetide.functions import clean_themes
+from tonetide.operators import document_themes, join_mentions, theme_tones
+from tonetide.plans.rebuild import Paths, run_all
+from tonetide.sources import read_stats
+
+TAXONOMY = ["TAX"]
+THEMES = ["A", "B", ""]
+SOURCES = ["s1", ""]
+
+
+@pytest.fixture(scope="module")
+def mentions(spark):
+    """One id holds a third of the mentions, with many tones."""
+    rng = random.Random(1)
+    ids = ["hot"] * 200 + [f"d{rng.randint(0, 60)}" for _ in range(400)]
+    rows = [
+        (i, rng.choice([-11.5, 0.25, 10.0, round(rng.uniform(-9, 9), 2)]), f"2020-01-0{rng.randint(1, 3)}")
+        for i in ids
+    ]
+    df = spark.createDataFrame(rows, "mention_id string, mention_doc_tone double, day string")
+    return df.select(
+        "mention_id", "mention_doc_tone", F.col("day").cast("timestamp").alias("mention_time_date")
+    ).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    """The same id holds a third of the documents: exact copies and near copies."""
+    rng = random.Random(2)
+    codes = ["TAX_A", "A", "B,7", "C", "TAX_TAX", "TAX"]
+    rows = [("s1", "hot", ["TAX_A", "A"])] * 30
+    rows += [("s2", "hot", [rng.choice(codes)]) for _ in range(10)]
+    rows += [
+        (rng.choice(["s1", "s2", ""]), f"d{rng.randint(0, 80)}", rng.choices(codes, k=rng.randint(0, 4)))
+        for _ in range(80)
+    ]
+    return spark.createDataFrame(
+        rows, "src_common_name string, doc_id string, themes array<string>"
+    ).repartition(4)
+
+
+def plain_rows(mentions, documents, taxonomy, themes, sources=None):
+    """Join, clean, explode, filter, with nothing collapsed on the way."""
+    if taxonomy is not None:
+        documents = documents.withColumn("themes", clean_themes(F.col("themes"), taxonomy))
+    rows = join_mentions(mentions, documents).withColumn("theme", F.explode("themes"))
+    if themes is not None:
+        rows = rows.where(F.col("theme").isin(*themes))
+    if sources is not None:
+        rows = rows.where(F.col("src_common_name").isin(*sources))
+    return rows.withColumnRenamed("mention_time_date", "time")
+
+
+def plain_stats(rows, keys):
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("num_mentions"),
+        F.avg("mention_doc_tone").alias("avg"),
+        F.percentile("mention_doc_tone", [0.0, 0.25, 0.5, 0.75, 1.0])
+        .cast("array<float>")
+        .alias("quantiles"),
+        F.count_if(F.col("mention_doc_tone") < -10).alias("below"),
+    )
+
+
+def table(df, keys):
+    if "bin_vals" in df.columns:
+        df = df.withColumn("below", F.get("bin_vals", F.lit(0)))
+    return {
+        tuple(r[k] for k in keys): (r.num_mentions, pytest.approx(r.avg), r.quantiles, r.below)
+        for r in df.collect()
+    }
+
+
+DAY = ["theme", "time"]
+DAY_SOURCE = ["theme", "time", "src_common_name"]
+
+
+def frame(spark, words):
+    return spark.createDataFrame([(w,) for w in words], "w string")
+
+
+@pytest.mark.parametrize("form", ["lists", "frames", "mixed"])
+def test_day_tables(spark, mentions, documents, form):
+    taxonomy = frame(spark, TAXONOMY) if form == "frames" else TAXONOMY
+    themes = THEMES if form == "lists" else frame(spark, THEMES)
+    sources = frame(spark, SOURCES) if form == "frames" else SOURCES
+    rows = plain_rows(mentions, documents, TAXONOMY, THEMES)
+    want = table(plain_stats(rows, DAY), DAY)
+    got = plans.theme_day_tone(mentions, documents, taxonomy, themes)
+    assert table(got, DAY) == want
+
+    rows = plain_rows(mentions, documents, TAXONOMY, THEMES, SOURCES)
+    want_by_source = table(plain_stats(rows, DAY_SOURCE), DAY_SOURCE)
+    got = plans.theme_day_source_tone(mentions, documents, taxonomy, themes, sources)
+    assert table(got, DAY_SOURCE) == want_by_source
+
+    both = plans.tone_tables(mentions, documents, taxonomy, themes, sources)
+    assert table(both.where("grain = 'theme_day'"), DAY) == want
+    assert table(both.where("grain = 'theme_day_source'"), DAY_SOURCE) == want_by_source
+
+
+def test_raw_themes_without_vocabularies(mentions, documents):
+    want = table(plain_stats(plain_rows(mentions, documents, None, None), DAY), DAY)
+    assert table(plans.theme_tone(mentions, documents), DAY) == want
+
+
+def test_filter_after_the_aggregate_is_the_same(mentions, documents):
+    late = plans.theme_tone(mentions, documents, TAXONOMY).where(F.col("theme").isin(*THEMES))
+    early = plans.theme_tone(mentions, documents, TAXONOMY, THEMES)
+    assert table(late, DAY) == table(early, DAY)
+
+
+def test_copies_collapse_before_the_join(mentions, documents):
+    coded = document_themes(documents, TAXONOMY, THEMES)
+    hot = coded.where("doc_id = 'hot' AND src_common_name = 's1'").collect()
+    assert [(h.themes, h.copies) for h in hot] == [(["A", "A"], 30)]
+    rows = theme_tones(mentions, documents, TAXONOMY, THEMES)
+    plain = plain_rows(mentions, documents, TAXONOMY, THEMES)
+    assert rows.agg(F.sum("weight")).first()[0] == plain.count()
+    assert rows.count() < plain.count()
+
+
+@pytest.fixture
+def feed(spark, mentions, documents, tmp_path):
+    """Both inputs as text files, a bad line among them."""
+    day = F.date_format("mention_time_date", "yyyyMMddHHmmss")
+    cells = {2: day, 5: F.col("mention_id"), 13: F.col("mention_doc_tone").cast("string")}
+    line = F.concat_ws("\t", *[cells.get(i, F.lit("x")) for i in range(16)])
+    mentions.select(line).write.text(str(tmp_path / "in" / "1.mentions.csv"))
+    cells = {
+        3: F.col("src_common_name"),
+        4: F.col("doc_id"),
+        7: F.array_join(F.transform("themes", lambda code: F.concat(code, F.lit(";"))), ""),
+    }
+    line = F.concat_ws("\t", *[cells.get(i, F.lit("x")) for i in range(27)])
+    documents.select(line).union(spark.sql("SELECT 'bad'")).write.text(
+        str(tmp_path / "in" / "1.gkg.csv")
+    )
+    out = {
+        name: str(tmp_path / name)
+        for name in ("taxonomy", "themes", "sources", "theme_day", "theme_day_source")
+    }
+    return Paths(
+        mentions=str(tmp_path / "in" / "*.mentions.csv"),
+        documents=str(tmp_path / "in" / "*.gkg.csv"),
+        **out,
+    )
+
+
+def test_run_all(spark, mentions, documents, feed):
+    """Mode new learns the lists, mode existing repeats the run with them."""
+    named = documents.where("src_common_name <> '' AND size(themes) > 0")
+    for mode in ("new", "existing"):
+        run_all(spark, feed, mode, min_count=2, k_themes=3, k_sources=1)
+        words = [r[0] for r in plans.taxonomy_words(documents, 2).collect()]
+        themes = [r[0] for r in plans.top_themes(documents, words, 3).collect()]
+        sources = [r[0] for r in plans.top_sources(documents.where("src_common_name <> ''"), 1).collect()]
+        rows = plain_rows(mentions, named, words, themes)
+        got = read_stats(spark, feed.theme_day)
+        assert table(got, DAY) == table(plain_stats(rows, DAY), DAY)
+        rows = plain_rows(mentions, named, words, themes, sources)
+        got = read_stats(spark, feed.theme_day_source)
+        assert table(got, DAY_SOURCE) == table(plain_stats(rows, DAY_SOURCE), DAY_SOURCE)
+    with pytest.raises(ValueError):
+        run_all(spark, feed, "other")
+
+
+def test_command_line(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(
+        cli, "run_all", lambda spark, paths, mode, folder, **options: seen.update(
+            paths=paths, mode=mode, folder=folder, **options
+        )
+    )
+    flags = ["mentions", "documents", "taxonomy", "themes", "sources", "theme-day", "theme-day-source"]
+    cli.main(["new", *[x for f in flags for x in (f"--{f}", f.upper())], "--manual-words"])
+    assert seen["mode"] == "new" and seen["folder"] is None
+    assert seen["paths"].theme_day_source == "THEME-DAY-SOURCE"
+    assert seen["paths"].sources_documents is None
+    assert seen["k_themes"] == 1000 and seen["min_count"] == 10 and len(seen["extra"]) == 7
