@@ -11,6 +11,7 @@ from tonetide import __main__ as cli
 from tonetide import plans
 from tonetide.functions import clean_themes
 from tonetide.operators import document_themes, join_mentions, theme_tones
+from tonetide.plans import rebuild
 from tonetide.plans.rebuild import Paths, run_all
 from tonetide.sources import read_stats
 
@@ -176,16 +177,68 @@ def test_run_all(spark, mentions, documents, feed):
         run_all(spark, feed, "other")
 
 
+def test_databases_are_filled_too(spark, mentions, documents, feed, monkeypatch):
+    """The writer is replaced: what would be appended must equal the stored table."""
+    seen = {}
+    monkeypatch.setattr(
+        rebuild, "write_jdbc", lambda df, **options: seen.update({options["table"]: df.collect()})
+    )
+    rebuild.rebuild_vocabularies(spark, feed, min_count=2, extra=["X"])
+    run_all(spark, feed, databases={"theme_day_source": {"url": "u", "table": "t"}})
+    stored = read_stats(spark, feed.theme_day_source).drop("date")
+    assert list(seen) == ["t"]
+    assert len(seen["t"]) == stored.count() > 0
+
+
 def test_command_line(monkeypatch):
     seen = {}
     monkeypatch.setattr(
-        cli, "run_all", lambda spark, paths, mode, folder, **options: seen.update(
-            paths=paths, mode=mode, folder=folder, **options
-        )
+        cli,
+        "run_all",
+        lambda spark, paths, mode, folder, databases, **options: seen.update(
+            paths=paths, mode=mode, folder=folder, databases=databases, **options
+        ),
     )
     flags = ["mentions", "documents", "taxonomy", "themes", "sources", "theme-day", "theme-day-source"]
     cli.main(["new", *[x for f in flags for x in (f"--{f}", f.upper())], "--manual-words"])
-    assert seen["mode"] == "new" and seen["folder"] is None
+    assert seen["mode"] == "new" and seen["folder"] is None and seen["databases"] == {}
     assert seen["paths"].theme_day_source == "THEME-DAY-SOURCE"
     assert seen["paths"].sources_documents is None
     assert seen["k_themes"] == 1000 and seen["min_count"] == 10 and len(seen["extra"]) == 7
+
+
+def test_hot_id_is_split_in_the_join(spark):
+    """A third of the mentions share an id; adaptive execution splits their partition.
+
+    It can because nothing above the join depends on how the join is partitioned.
+    """
+    mentions = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('d', id % 5000)) AS mention_id",
+        "cast(id % 977 AS double) / 50 AS mention_doc_tone",
+        "timestamp '2020-01-01' + make_dt_interval(cast(id % 30 AS int)) AS mention_time_date",
+    )
+    documents = spark.range(5_000).selectExpr(
+        "'s' AS src_common_name",
+        "if(id = 0, 'hot', concat('d', id)) AS doc_id",
+        "if(id = 0, array('A'), array('A', 'B')) AS themes",
+    )
+    want = table(plain_stats(plain_rows(mentions, documents, None, None), DAY), DAY)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        result = plans.theme_tone(mentions, documents, TAXONOMY, THEMES)
+        result = result.withColumn("below", F.get("bin_vals", F.lit(0))).drop("bin_vals")
+        assert table(result, DAY) == want
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan.split("== Initial Plan ==")[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from tonetide.operators import latest_tone, tone_distribution, tone_evolution
 from tonetide.schemas import THEME_DAY_KEYS, THEME_DAY_SOURCE_DDL, THEME_DAY_SOURCE_KEYS
-from tonetide.sources import check_stats, jdbc_rows, read_stats, write_jdbc, write_stats
+from tonetide.sources import (
+    check_stats,
+    jdbc_rows,
+    jdbc_settings,
+    read_stats,
+    write_jdbc,
+    write_stats,
+)
 
 
 def row(theme, day, source="s", n=1, avg=0.0, cell=1):
@@ -123,6 +130,21 @@ def test_jdbc_writer_passes_caller_options(stats, monkeypatch):
     }
 
 
+def test_jdbc_settings(tmp_path):
+    path = tmp_path / "db.ini"
+    path.write_text(
+        "[postgresql]\nurl = jdbc:postgresql://host/db\nDatabase = db\nschema = s\n"
+        "username = u\npassword = p%\ndriver = org.postgresql.Driver\ntable = s.t\n"
+    )
+    assert jdbc_settings(str(path)) == {
+        "url": "jdbc:postgresql://host/db",
+        "user": "u",
+        "password": "p%",
+        "driver": "org.postgresql.Driver",
+        "table": "s.t",
+    }
+
+
 def test_evolution(stats):
     rows = tone_evolution(stats, "A").collect()
     assert [r.time.day for r in rows] == [3, 2, 2, 1]

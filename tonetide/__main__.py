@@ -16,6 +16,10 @@ from pyspark.sql import SparkSession
 
 from tonetide.plans.rebuild import Paths, run_all
 from tonetide.schemas import MANUAL_TAXONOMY_WORDS, TAXONOMY_MIN_COUNT, TOP_SOURCES, TOP_THEMES
+from tonetide.sources import jdbc_settings
+
+
+TABLES = ("theme_day", "theme_day_source")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -25,6 +29,13 @@ def parser() -> argparse.ArgumentParser:
         flag = "--" + field.name.replace("_", "-")
         cli.add_argument(flag, required=not field.name.endswith("_documents"))
     cli.add_argument("--checkpoint-dir", help="used if spark.checkpoint.dir is not set")
+    for table in TABLES:
+        cli.add_argument(
+            f"--{table.replace('_', '-')}-jdbc",
+            metavar="INI",
+            help=f"settings of the database that also takes {table}: url, username, password, "
+            "driver and table in a section [postgresql]",
+        )
     cli.add_argument("--taxonomy-cut", type=int, default=TAXONOMY_MIN_COUNT)
     cli.add_argument("--top-themes", type=int, default=TOP_THEMES)
     cli.add_argument("--top-sources", type=int, default=TOP_SOURCES)
@@ -37,12 +48,15 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     paths = Paths(**{field.name: getattr(args, field.name) for field in fields(Paths)})
+    settings = {table: getattr(args, f"{table}_jdbc") for table in TABLES}
+    databases = {table: jdbc_settings(path) for table, path in settings.items() if path}
     spark = SparkSession.builder.appName("tonetide").getOrCreate()
     run_all(
         spark,
         paths,
         args.mode,
         args.checkpoint_dir,
+        databases,
         min_count=args.taxonomy_cut,
         extra=MANUAL_TAXONOMY_WORDS if args.manual_words else (),
         k_themes=args.top_themes,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,7 @@ from tonetide.sources import (
     read_mentions,
     read_vocab,
     small_list,
+    write_jdbc,
     write_stats,
     write_vocab,
 )
@@ -78,6 +79,7 @@ def run_all(
     paths: Paths,
     mode: str = "existing",
     checkpoint_dir: str | None = None,
+    databases: Mapping[str, Mapping[str, str]] | None = None,
     **vocabulary_options,
 ) -> None:
     """Write both result tables; with mode ``new`` rebuild the vocabularies first.
@@ -85,6 +87,9 @@ def run_all(
     Both tables come from one pass over the feeds. The finished rows, small next
     to the feeds, are checkpointed to the shared folder, so writing two tables
     neither repeats the pass nor depends on executors staying alive.
+
+    ``databases`` maps ``theme_day`` and ``theme_day_source`` to keywords of
+    :func:`write_jdbc`; a table named there is appended to its database as well.
     """
     if mode not in ("new", "existing"):
         raise ValueError(f"mode must be 'new' or 'existing', not {mode!r}")
@@ -100,8 +105,12 @@ def run_all(
         themes=small_list(read_vocab(spark, paths.themes, "theme")),
         sources=small_list(read_vocab(spark, paths.sources, "src_common_name")),
     ).checkpoint()
-    columns = (*STATS_COLUMNS, "time")
-    overall = stats.where(F.col("grain") == "theme_day")
-    write_stats(overall.select("theme", *columns), paths.theme_day)
-    by_source = stats.where(F.col("grain") == "theme_day_source")
-    write_stats(by_source.select("theme", "src_common_name", *columns), paths.theme_day_source)
+    tables = {
+        "theme_day": (paths.theme_day, ("theme",)),
+        "theme_day_source": (paths.theme_day_source, ("theme", "src_common_name")),
+    }
+    for grain, (path, names) in tables.items():
+        rows = stats.where(F.col("grain") == grain).select(*names, *STATS_COLUMNS, "time")
+        write_stats(rows, path)
+        if databases and grain in databases:
+            write_jdbc(rows, **databases[grain])

@@ -11,6 +11,7 @@ from tonetide.sources.lines import (
 from tonetide.sources.tables import (
     check_stats,
     jdbc_rows,
+    jdbc_settings,
     read_stats,
     write_jdbc,
     write_stats,
@@ -20,6 +21,7 @@ from tonetide.sources.vocab import read_vocab, small_list, write_vocab
 __all__ = [
     "check_stats",
     "jdbc_rows",
+    "jdbc_settings",
     "parse_documents",
     "parse_mentions",
     "read_documents",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import configparser
 from collections.abc import Sequence
 from functools import reduce
 
@@ -74,13 +75,28 @@ def jdbc_rows(df: DataFrame, flatten: bool = False) -> DataFrame:
     )
 
 
+def jdbc_settings(path: str, section: str = "postgresql") -> dict[str, str]:
+    """Connection settings from an INI file, as keywords for :func:`write_jdbc`.
+
+    ``url``, ``username``, ``password`` and ``driver`` are read; ``table``, if the
+    section has one, comes along.
+    """
+    config = configparser.ConfigParser(interpolation=None)
+    with open(path) as file:
+        config.read_file(file)
+    names = {"username": "user"}
+    wanted = ("url", "username", "password", "driver", "table")
+    given = config[section]
+    return {names.get(name, name): given[name] for name in wanted if name in given}
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, flatten: bool = False, **options: str) -> None:
     """Append result rows to a database table.
 
     Everything the driver needs (user, password, driver class, ``numPartitions``
     to bound the open connections, ``batchsize``) comes from the caller, e.g. from
-    a settings file; nothing is read or kept here. The table's primary key is what
-    rejects a second run.
+    :func:`jdbc_settings`. PostgreSQL turns the time into the column's type by
+    itself. The table's primary key is what rejects a second run.
     """
     (
         jdbc_rows(df, flatten)
