@@ -82,15 +82,19 @@ def parse_mentions(
         require,
         [*_MENTION_COLUMNS, *extra],
     )
+    parsed = F.struct(
+        to_double(F.col("mention_doc_tone")).alias("tone"),
+        GRAINS[grain](F.col("mention_time_date")).alias("time"),
+    )
     return (
-        rows.where(is_number(F.col("mention_doc_tone")))
-        .withColumns(
-            {
-                "mention_doc_tone": to_double(F.col("mention_doc_tone")),
-                "mention_time_date": GRAINS[grain](F.col("mention_time_date")),
-            }
+        rows.select("mention_id", *extra, once(parsed).alias("parsed"))
+        .where(F.col("parsed.tone").isNotNull() & F.col("parsed.time").isNotNull())
+        .select(
+            "mention_id",
+            F.col("parsed.tone").alias("mention_doc_tone"),
+            F.col("parsed.time").alias("mention_time_date"),
+            *extra,
         )
-        .where(F.col("mention_time_date").isNotNull())
     )
 
 
