@@ -57,7 +57,7 @@ def _flat(df: DataFrame, keys: Sequence[str], parts: Sequence[str] = STATS) -> D
         ]
     if "bin_vals" in parts:
         columns += [
-            F.get("bin_vals", F.lit(i)).cast("bigint").alias(f"b{i}") for i in range(CELLS)
+            F.get("bin_vals", F.lit(i)).alias(f"b{i}") for i in range(CELLS)
         ]
     return df.select(*columns)
 

@@ -162,7 +162,7 @@ def test_bins_and_counts_add_up(spark, sf_dir):
 
     rows = v.ev(spark, sf_dir)
     result = tone_stats(rows).withColumn(
-        "binned", F.aggregate("bin_vals", F.lit(0), lambda a, b: a + b)
+        "binned", F.aggregate("bin_vals", F.lit(0).cast("bigint"), lambda a, b: a + b)
     )
     ten = rows.where("mention_doc_tone = 10").groupBy("theme", "time").count()
     odd = result.join(ten, ["theme", "time"], "left").where(

@@ -65,8 +65,11 @@ def tone_histogram(
     close_last: bool = False,
     weight: Column | None = None,
 ) -> Column:
-    """Counts per histogram cell of a group as ``array<int>``."""
+    """Counts per histogram cell of a group.
+
+    ``array<bigint>``, since one cell of a hot group may pass 32 bits.
+    """
     cells = histogram_bins(col, lo, hi, bins, close_last)
     one = F.lit(1) if weight is None else weight
     counts = [F.sum(F.when(cell, one).otherwise(0)) for cell in cells]
-    return F.array(*counts).cast("array<int>")
+    return F.array(*counts)

@@ -201,7 +201,7 @@ def _results(probs: Sequence[float]) -> list[Column]:
         F.col("num_mentions"),
         F.expr("_sum / num_mentions AS avg"),
         F.expr(f"cast(array({quantiles}) AS array<float>) AS quantiles"),
-        F.expr(f"cast(array({cells}) AS array<int>) AS bin_vals"),
+        F.expr(f"array({cells}) AS bin_vals"),
     ]
 
 

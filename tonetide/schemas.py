@@ -72,6 +72,6 @@ STATS_COLUMNS = ("num_mentions", "avg", "quantiles", "bin_vals")
 
 THEME_DAY_DDL = (
     "theme STRING, num_mentions BIGINT, avg DOUBLE, "
-    "quantiles ARRAY<FLOAT>, bin_vals ARRAY<INT>, time TIMESTAMP"
+    "quantiles ARRAY<FLOAT>, bin_vals ARRAY<BIGINT>, time TIMESTAMP"
 )
 THEME_DAY_SOURCE_DDL = "src_common_name STRING, " + THEME_DAY_DDL
