@@ -53,5 +53,19 @@ def test_matches_oracle(spark, duck, sf_dir, name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["theme_day_source_tone", "tone_tables_from_lines"])
+def test_matches_oracle_without_broadcast(spark, duck, sf_dir, name):
+    """As with documents too large to broadcast: both sides collapse and shuffle."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        test_matches_oracle(spark, duck, sf_dir, name)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

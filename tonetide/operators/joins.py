@@ -5,6 +5,10 @@ relation is many to many and one id may be very common on either side, so the
 tone jobs first collapse each side to distinct rows with a multiplicity. Copies
 then cost nothing in the join, where they would multiply, and the product of the
 two multiplicities restores every row of the plain join.
+
+Only where the documents are small enough to be broadcast do the mentions go into
+the join as they are: they are not shuffled for it, and the tones combine in the
+same task right after it.
 """
 
 from __future__ import annotations
@@ -112,8 +116,11 @@ def theme_tones(
     partition; adaptive execution splits it, and nothing downstream ties the join
     to its partitioning.
     """
-    tones = mention_counts(mentions)
     coded = document_themes(documents, taxonomy, themes, sources, by_source)
+    if _is_broadcast(coded):
+        tones = mentions.withColumn("mentions", F.lit(1))
+    else:
+        tones = mention_counts(mentions)
     source = ["src_common_name"] if by_source else []
     return join_mentions(tones, coded).select(
         F.explode("themes").alias("theme"),
@@ -122,3 +129,10 @@ def theme_tones(
         "mention_doc_tone",
         (F.col("mentions") * F.col("copies")).alias("weight"),
     )
+
+
+def _is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark will broadcast ``df``, by its own estimate; runs nothing."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size <= conf.autoBroadcastJoinThreshold()
