@@ -26,6 +26,13 @@ from tonetide.schemas import (
 )
 from tonetide.session import configure
 
+# The subpackage for training data may be absent; everything else works without it.
+try:
+    import corpus_pipeline
+    from tonetide.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 CELLS = HISTOGRAM_BINS + 2
 STATS = ("num_mentions", "avg", "quantiles", "bin_vals")
@@ -325,7 +332,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def configured(query):
         return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
-    return {query.__name__: configured(query) for query in QUERIES}
+    found = {query.__name__: query for query in QUERIES}
+    if llm_queries is not None:
+        found |= llm_queries.queries()
+        found["pipeline"] = corpus_pipeline.run
+    return {name: configured(query) for name, query in found.items()}
 
 
 # -- SQL side ------------------------------------------------------------------
@@ -469,7 +480,8 @@ def oracle_sql() -> dict[str, str]:
     ev_groups = "FROM ev GROUP BY theme, time"
     good_lines = "ment_good AS (SELECT * FROM ment WHERE l_linenumber NOT IN (6, 7))"
     from_lines = _joined(_DAY, where=_IN_THEMES).replace("FROM ment m", "FROM ment_good m")
-    return {
+    found = {} if llm_queries is None else llm_queries.oracle_sql()
+    return found | {
         "parse_mentions": _with(_MENT)
         + f"""SELECT mention_id, tone AS mention_doc_tone, {_SHOW}
 FROM (SELECT *, {_DAY} AS time FROM ment WHERE l_linenumber NOT IN (6, 7))""",
