@@ -17,10 +17,13 @@ from tonetide.functions import once
 from tonetide.llm.common import SPACES, WORD, keep
 
 BUCKETS = 10_000
-# Added to every bucket's count, so that none is impossible.
+# Added to every bucket's raw count, so that none is impossible.
 PRIOR = 1.0
+# N-grams of the raw corpus that the trusted ones are mixed with: with little trusted
+# text all ratios stay near one.
+BACKED = 10.0 * BUCKETS
 # Mean log-likelihood ratio below which a document is rejected.
-THRESHOLD = -0.5
+THRESHOLD = -0.06
 # Trusted documents used at most, those with the smallest hashes.
 TRUSTED_ROWS = 20_000
 RUN = 5
@@ -60,12 +63,17 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     full = every.join(counts, "bucket", "left").select(
         "bucket",
         (F.coalesce("raw", F.lit(0)) + PRIOR).alias("raw"),
-        (F.coalesce("target", F.lit(0)) + PRIOR).alias("target"),
+        F.coalesce("target", F.lit(0)).cast("double").alias("target"),
     )
-    sums = "aggregate(c, 0D, (s, x) -> s + x.%s)"
-    return full.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c")).select(
+    share = "(x.raw / total.raw)"
+    listed = full.agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"),
+        F.struct(F.sum("raw").alias("raw"), F.sum("target").alias("target")).alias("total"),
+    )
+    return listed.select(
         F.expr(
-            f"""transform(c, x -> ln(x.target / x.raw) - ln({sums % 'target'} / {sums % 'raw'}))"""
+            f"transform(c, x -> ln((x.target + {BACKED}D * {share}) / (total.target + {BACKED}D))"
+            f" - ln({share}))"
         ).alias("weights")
     )
 

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tonetide.llm import hyperminhash, merge_replay, mixing, quality_llr, seekable_ids, substring_dedup
+from tonetide.llm import (
+    hyperminhash,
+    merge_replay,
+    mixing,
+    quality_llr,
+    seekable_ids,
+    substring_dedup,
+    toxicity_kn,
+)
 from tonetide.llm.common import prepare, table
 
 
@@ -33,6 +41,11 @@ def op6_bpe_merge_replay(spark, sf_dir):
     )
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return toxicity_kn.score(spark, docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op10_quality_rules(spark, sf_dir):
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_llr.judge(table(spark, sf_dir, "documents", "doc_id", "text"), trusted)
@@ -50,6 +63,7 @@ def queries():
         "op2_token_ids": op2_token_ids,
         "op5_source_mix": op5_source_mix,
         "op6_bpe_merge_replay": op6_bpe_merge_replay,
+        "op9_toxicity": op9_toxicity,
         "op10_quality_rules": op10_quality_rules,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
     }
