@@ -12,6 +12,9 @@ from tonetide.llm import (
     seekable_ids,
     substring_dedup,
     toxicity_kn,
+    url_templates,
+    vector_dedup,
+    warc_chunks,
 )
 from tonetide.llm.common import prepare, table
 
@@ -29,6 +32,17 @@ def op2_token_ids(spark, sf_dir):
     )
 
 
+def op3_url_templates(spark, sf_dir):
+    return url_templates.judge(
+        table(spark, sf_dir, "pages", "page_id", "url"),
+        table(spark, sf_dir, "labels", "doc_id", "quality"),
+    )
+
+
+def op4_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_vectors(table(prepare(spark), sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op5_source_mix(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -51,6 +65,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality_llr.judge(table(spark, sf_dir, "documents", "doc_id", "text"), trusted)
 
 
+def op7_warc(spark, sf_dir):
+    pages = table(prepare(spark), sf_dir, "pages", "page_id", "url", "html")
+    return warc_chunks.archive_and_read(spark, pages, pages.rdd.getNumPartitions())
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     return hyperminhash.near_duplicates(
         table(prepare(spark), sf_dir, "documents", "doc_id", "text")
@@ -59,13 +78,19 @@ def op8_minhash_near_dedup(spark, sf_dir):
 
 def queries():
     return {
-        "op1_substring_dedup": op1_substring_dedup,
-        "op2_token_ids": op2_token_ids,
-        "op5_source_mix": op5_source_mix,
-        "op6_bpe_merge_replay": op6_bpe_merge_replay,
-        "op9_toxicity": op9_toxicity,
-        "op10_quality_rules": op10_quality_rules,
-        "op8_minhash_near_dedup": op8_minhash_near_dedup,
+        query.__name__: query
+        for query in (
+            op1_substring_dedup,
+            op2_token_ids,
+            op3_url_templates,
+            op4_vector_dedup,
+            op5_source_mix,
+            op6_bpe_merge_replay,
+            op7_warc,
+            op8_minhash_near_dedup,
+            op9_toxicity,
+            op10_quality_rules,
+        )
     }
 
 
