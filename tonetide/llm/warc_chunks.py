@@ -144,7 +144,7 @@ def header(row: dict) -> bytes:
     return ("\r\n".join(lines) + "\r\n\r\n").encode() + http
 
 
-def write_archives(chunks: DataFrame, roles: DataFrame, folder: str, files: int) -> DataFrame:
+def write_archives(chunks: DataFrame, roles: DataFrame, folder: str) -> DataFrame:
     """Write one record per row of ``roles``; returns ``path`` and ``records`` per archive."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,6 @@ def write_archives(chunks: DataFrame, roles: DataFrame, folder: str, files: int)
         with fs.open_output_stream(attempt, compression=None) as stream:
             member = None
             for batch in batches:
-                names = batch.schema.names
                 for row in batch.to_pylist():
                     if row["chunk_no"] == 0:
                         records += 1
@@ -166,20 +165,20 @@ def write_archives(chunks: DataFrame, roles: DataFrame, folder: str, files: int)
                         stream.write(member.compress(row["data"]))
                     if row["last"] or row["record_type"] == "revisit":
                         stream.write(member.compress(b"\r\n\r\n") + member.flush())
-                del names
         if not records:
             fs.delete_file(attempt)
             return
         fs.move(attempt, path)
         yield pa.record_batch([pa.array([path]), pa.array([records])], ["path", "records"])
 
+    # The chunks of a record lie in one partition before and after this join, however
+    # it is carried out: they come from one task and go where their id sends them.
     # Of a revisit only the first chunk travels, and without its bytes.
     rows = chunks.select("record_id", "url", "chunk_no", "last", "data").join(roles, "record_id")
     revisit = F.col("record_type") == "revisit"
     return (
         rows.where(~revisit | (F.col("chunk_no") == 0))
         .withColumn("data", F.when(revisit, F.lit(b"")).otherwise(F.col("data")))
-        .repartition(files, "record_id")
         .sortWithinPartitions("record_id", "chunk_no")
         .mapInArrow(write, "path string, records long")
     )
@@ -326,7 +325,7 @@ def archive_and_read(spark: SparkSession, pages: DataFrame, files: int) -> DataF
     folder = new_folder(spark, "warc")
     chunks = with_digests(chunk_table(pages.where("page_id IS NOT NULL")))
     roles = keep(record_roles(chunks), "roles")
-    written = keep(write_archives(chunks, roles, folder, files), "archives")
+    written = keep(write_archives(chunks, roles, folder), "archives")
     back = read_archives(written.repartition(files, "path"), folder)
     return back.where("last").select(
         F.col("record_id").alias("page_id"),
