@@ -103,6 +103,11 @@ def rejected_lines(spark, sf_dir):
     return sources.rejected_lines(v.ment_lines(spark, sf_dir), "mentions")
 
 
+def rejected_lines_second(spark, sf_dir):
+    lines = v.ment_lines(spark, sf_dir, bad_times=True)
+    return sources.rejected_lines(lines, "mentions", grain="second")
+
+
 def is_number_filter(spark, sf_dir):
     rows = v.number_texts(spark, sf_dir).where(fn.is_number(F.col("txt")))
     return rows.select("l_orderkey", "l_linenumber", "txt", fn.to_double(F.col("txt")).alias("num"))
@@ -287,6 +292,7 @@ QUERIES = (
     parse_mentions,
     parse_documents,
     rejected_lines,
+    rejected_lines_second,
     is_number_filter,
     mention_time_second,
     clean_comma,
@@ -491,6 +497,12 @@ FROM (SELECT *, {_DAY} AS time FROM ment WHERE l_linenumber NOT IN (6, 7))""",
         "rejected_lines": _with(_MENT)
         + f"""SELECT {_LINE} AS line, CASE l_linenumber WHEN 7 THEN 'width' ELSE 'tone' END AS reason
 FROM ment WHERE l_linenumber IN (6, 7)""",
+        "rejected_lines_second": _with(_MENT)
+        + f"""SELECT replace({_LINE}, raw_time, bad_time) AS line,
+       CASE l_linenumber WHEN 7 THEN 'width' WHEN 6 THEN 'tone' ELSE 'time' END AS reason
+FROM (SELECT *, CASE l_linenumber WHEN 4 THEN concat(raw_time[1:8], '996015')
+                WHEN 5 THEN raw_time[1:8] ELSE raw_time END AS bad_time FROM ment)
+WHERE l_linenumber IN (4, 5, 6, 7)""",
         "is_number_filter": """WITH texts AS (
   SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN q WHEN 2 THEN concat(' -', q, '. ')
          WHEN 3 THEN concat(q, 'e2') WHEN 4 THEN concat(q, 'd') WHEN 5 THEN concat('0x', q)

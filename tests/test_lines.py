@@ -149,3 +149,17 @@ def test_driver_lines_known_counts(spark):
     rejects = rejected_lines(given, "mentions").groupBy("reason").count().collect()
     assert {r.reason: r["count"] for r in rejects} == {"tone": 8662, "width": 8598}
     assert parse_documents(v.docs_lines(spark, sf_dir)).count() == 2000
+
+
+@pytest.mark.parametrize("grain", ["day", "second"])
+@pytest.mark.parametrize("check_width", [True, False])
+def test_every_line_is_parsed_or_rejected(spark, grain, check_width):
+    given = [mention(), mention(m2="20180720996015"), mention(m2="20180720"), mention(m2="2018"), *BAD_MENTIONS]
+    given += [mention(n) for n in (0, 1, 3, 6, 13, 14, 15, 17)]
+    rows = lines(spark, *given)
+    parsed = parse_mentions(rows, grain, check_width=check_width).count()
+    rejects = rejected_lines(rows, "mentions", grain=grain, check_width=check_width)
+    assert parsed + rejects.count() == len(given)
+    docs = lines(spark, *[document(n) for n in (1, 4, 7, 8, 26, 27, 30)], document(d3=""))
+    parsed = parse_documents(docs, check_width=check_width).count()
+    assert parsed + rejected_lines(docs, "documents", check_width=check_width).count() == 8

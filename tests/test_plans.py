@@ -13,7 +13,7 @@ from tonetide import plans
 from tonetide.operators import tone_stats
 from tonetide.sources import parse_mentions
 
-QUERIES = contract.queries()
+QUERIES = {k: q for k, q in contract.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
 
 
 def planned(df):

@@ -87,6 +87,17 @@ def test_violations(spark, stats):
     assert [(r.theme, r.time.day, r.rows) for r in by_day] == [("A", 2, 2)]
 
 
+def test_jdbc_rows_take_any_width_and_cut_nothing(spark):
+    rows = spark.sql(
+        "SELECT 'A' AS theme, 1 AS num_mentions, 1D AS avg, array(1, 2, 3, 4, 5, 6, 7) AS quantiles, "
+        "array(1, 2) AS bin_vals"
+    )
+    flat = jdbc_rows(rows, flatten=True, quantiles=7, cells=2).first()
+    assert [flat[f"q{i}"] for i in range(7)] == [1, 2, 3, 4, 5, 6, 7] and flat.b1 == 2
+    with pytest.raises(Exception, match="has not 5 elements"):
+        jdbc_rows(rows, flatten=True).collect()
+
+
 def test_jdbc_rows(stats):
     plain = jdbc_rows(stats)
     assert dict(plain.dtypes)["num_mentions"] == "int"

@@ -130,3 +130,10 @@ def test_long_list_stays_a_frame(spark):
     df = spark.range(20).selectExpr("cast(id AS string) AS w")
     assert small_list(df, 19) is df
     assert len(small_list(df, 20)) == 20
+
+
+def test_words_come_back_unchanged(spark, tmp_path):
+    words = [" lead", "trail ", " ", 'a "quote"', "a,b", "back\\slash", '"', "\\", "'", "näme", "#x"]
+    write_vocab(counts(spark, {w: 1 for w in words}), str(tmp_path / "w"))
+    back = [r[0] for r in read_vocab(spark, str(tmp_path / "w"), "theme").collect()]
+    assert sorted(back) == sorted(words)

@@ -86,18 +86,23 @@ def docs_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_docs(spark, sf_dir).select(_line(DOCUMENT_WIDTH, filled))
 
 
-def ment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ment_lines(spark: SparkSession, sf_dir: str, bad_times: bool = False) -> DataFrame:
     """Mentions as feed lines; the sixth and seventh line of an order are bad.
 
     The sixth has a tone that is no number. The seventh is one field short, as
-    ``concat_ws`` leaves out the NULL at its end.
+    ``concat_ws`` leaves out the NULL at its end. With ``bad_times`` the fourth has
+    an hour that is none and the fifth only a day.
     """
     number = F.col("line_number")
     tone = F.when(number == 6, "n/a").otherwise(F.col("mention_doc_tone").cast("string"))
+    time = F.col("raw_time")
+    if bad_times:
+        day = F.substring("raw_time", 1, 8)
+        time = F.when(number == 4, F.concat(day, F.lit("996015"))).when(number == 5, day).otherwise(time)
     filled = {
         MENTION_FIELDS["event_id"]: F.col("event_id"),
         MENTION_FIELDS["event_time_date"]: F.col("raw_day"),
-        MENTION_FIELDS["mention_time_date"]: F.col("raw_time"),
+        MENTION_FIELDS["mention_time_date"]: time,
         MENTION_FIELDS["mention_src_name"]: F.col("mention_src_name"),
         MENTION_FIELDS["mention_id"]: F.col("mention_id"),
         MENTION_FIELDS["mention_doc_tone"]: tone,

@@ -1,6 +1,6 @@
 """DataFrame in, DataFrame out."""
 
-from tonetide.operators.joins import document_themes, join_mentions, mention_counts, theme_tones
+from tonetide.operators.joins import document_themes, join_mentions, theme_tones
 from tonetide.operators.serving import latest_tone, tone_distribution, tone_evolution
 from tonetide.operators.stats import collect_tones, tone_stats, tone_stats_multi
 from tonetide.operators.vocabulary import (
@@ -20,7 +20,6 @@ __all__ = [
     "join_mentions",
     "key_counts",
     "latest_tone",
-    "mention_counts",
     "theme_tones",
     "tone_distribution",
     "tone_evolution",

@@ -2,13 +2,10 @@
 
 Mentions carry tones, documents carry themes; they meet on the document id. The
 relation is many to many and one id may be very common on either side, so the
-tone jobs first collapse each side to distinct rows with a multiplicity. Copies
-then cost nothing in the join, where they would multiply, and the product of the
-two multiplicities restores every row of the plain join.
-
-Only where the documents are small enough to be broadcast do the mentions go into
-the join as they are: they are not shuffled for it, and the tones combine in the
-same task right after it.
+tone jobs first collapse the documents, the smaller side, to distinct rows with a
+multiplicity: copies on both sides would multiply each other. Mentions go into the
+join as they are, shuffled once at most, and equal tones combine in the same task
+right after it.
 """
 
 from __future__ import annotations
@@ -29,17 +26,6 @@ def join_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
     ).drop("doc_id")
 
 
-def mention_counts(mentions: DataFrame) -> DataFrame:
-    """Distinct (id, time, tone) of the mentions and how often each occurs.
-
-    The tone belongs to the document, so all mentions a document makes in one
-    time step collapse into one row.
-    """
-    return mentions.groupBy("mention_id", "mention_time_date", "mention_doc_tone").agg(
-        F.count("*").alias("mentions")
-    )
-
-
 def document_themes(
     documents: DataFrame,
     taxonomy: Vocabulary | None = None,
@@ -51,8 +37,9 @@ def document_themes(
 
     Themes are cleaned and narrowed to the vocabulary before anything is
     shuffled; a document left without themes is gone. Vocabularies given as lists
-    work inside the theme array, so a document stays one row until after the
-    join. A DataFrame vocabulary needs one row per theme instead.
+    work inside the theme array. A DataFrame vocabulary is joined to the codes, whose
+    themes are then put together again, so that either way a document is one row
+    until after the join (one for each number of copies).
     """
     if sources is not None:
         documents = filter_to_vocab(documents, "src_common_name", sources)
@@ -60,7 +47,8 @@ def document_themes(
 
     if isinstance(taxonomy, DataFrame) or isinstance(themes, DataFrame):
         rows = _theme_rows(documents, keys, taxonomy, themes)
-        return rows.select(*keys, F.array("theme").alias("themes"), "copies")
+        # Bounded by the themes of one document.
+        return rows.groupBy(*keys, "copies").agg(F.collect_list("theme").alias("themes"))
 
     rows = documents.select(*keys, once(_theme_arrays(taxonomy, themes)).alias("themes"))
     return (
@@ -117,22 +105,11 @@ def theme_tones(
     to its partitioning.
     """
     coded = document_themes(documents, taxonomy, themes, sources, by_source)
-    if _is_broadcast(coded):
-        tones = mentions.withColumn("mentions", F.lit(1))
-    else:
-        tones = mention_counts(mentions)
     source = ["src_common_name"] if by_source else []
-    return join_mentions(tones, coded).select(
+    return join_mentions(mentions, coded).select(
         F.explode("themes").alias("theme"),
         F.col("mention_time_date").alias("time"),
         *source,
         "mention_doc_tone",
-        (F.col("mentions") * F.col("copies")).alias("weight"),
+        F.col("copies").alias("weight"),
     )
-
-
-def _is_broadcast(df: DataFrame) -> bool:
-    """Whether Spark will broadcast ``df``, by its own estimate; runs nothing."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size <= conf.autoBroadcastJoinThreshold()

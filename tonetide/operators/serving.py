@@ -39,10 +39,14 @@ def tone_evolution(
 
 
 def tone_distribution(
-    stats: DataFrame, theme: str, start: Moment | None = None, end: Moment | None = None
+    stats: DataFrame,
+    theme: str,
+    start: Moment | None = None,
+    end: Moment | None = None,
+    cells: int = HISTOGRAM_BINS + 2,
 ) -> DataFrame:
-    """Histogram of one theme per source, summed over a time range."""
-    cells = [F.sum(F.get("bin_vals", F.lit(i))) for i in range(HISTOGRAM_BINS + 2)]
+    """Histogram of ``cells`` cells of one theme per source, summed over a time range."""
+    cells = [F.sum(F.get("bin_vals", F.lit(i))) for i in range(cells)]
     return (
         _slice(stats, theme, start, end)
         .groupBy("src_common_name")

@@ -34,6 +34,18 @@ HOT_GROUPS = 4_000
 MAX_PIECES = 1_000
 
 _SKETCH_ACCURACY = 10 * MAX_PIECES
+# Cuts are searched in two steps, among every _STRIDE-th and then between two of them.
+_STRIDE = 32
+
+
+def _coarse(cuts: str) -> str:
+    return f"filter({cuts}, (c, i) -> (i + 1) % {_STRIDE} = 0)"
+
+
+def _place(cuts: str) -> str:
+    """SQL for how many of the sorted ``cuts`` lie below ``_tone``, given their ``_coarse`` ones."""
+    skip = f"{_STRIDE} * size(filter(_coarse, c -> c < _tone))"
+    return f"{skip} + size(filter(slice({cuts}, {skip} + 1, {_STRIDE}), c -> c < _tone))"
 
 
 def collect_tones(
@@ -105,12 +117,13 @@ def _hot_groups(values: DataFrame, keys: list[str], hot_floor: int) -> DataFrame
             *keys,
             F.expr(f"array_distinct(filter(_marks, (m, i) -> (i + 1) % ({step}) = 0)) AS _cuts"),
         )
+        .withColumn("_coarse", F.expr(_coarse("_cuts")))
     )
     group = Window.partitionBy(*keys)
     before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     return (
         _with_group(values, cut, keys, "inner")
-        .withColumn("_piece", F.expr("size(filter(_cuts, cut -> cut < _tone))"))
+        .withColumn("_piece", F.expr(_place("_cuts")))
         .groupBy(*keys, "_piece", F.get("_cuts", F.col("_piece")).alias("cut"))
         .agg(F.sum("_n").alias("_weight"))
         # From here on a group has at most MAX_PIECES rows.
@@ -120,6 +133,8 @@ def _hot_groups(values: DataFrame, keys: list[str], hot_floor: int) -> DataFrame
             F.array_sort(F.collect_list(F.struct("_piece", "cut", "below"))).alias("_pieces"),
             F.sum("_weight").alias("_total"),
         )
+        .withColumn("_ends", F.expr("transform(_pieces, p -> p.cut)"))
+        .withColumn("_coarse", F.expr(_coarse("_ends")))
     )
 
 
@@ -141,7 +156,7 @@ def _ranked(values: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """
     placed = (
         _with_group(values, hot, keys, "left")
-        .withColumn("_piece", F.expr("size(filter(_pieces, p -> p.cut < _tone))"))
+        .withColumn("_piece", F.expr(_place("_ends")))
         .select(
             *keys,
             "_tone",

@@ -20,6 +20,7 @@ from tonetide.schemas import (
 )
 from tonetide.session import configure, use_checkpoint_dir
 from tonetide.sources import (
+    check_stats,
     read_documents,
     read_mentions,
     read_vocab,
@@ -88,6 +89,9 @@ def run_all(
     to the feeds, are checkpointed to the shared folder, so writing two tables
     neither repeats the pass nor depends on executors staying alive.
 
+    Nothing is written if any of the rows breaks a rule of its table
+    (:func:`check_stats`): a ``ValueError`` names some of them.
+
     ``databases`` maps ``theme_day`` and ``theme_day_source`` to keywords of
     :func:`write_jdbc`; a table named there is appended to its database as well.
     """
@@ -109,6 +113,11 @@ def run_all(
         "theme_day": (paths.theme_day, ("theme",)),
         "theme_day_source": (paths.theme_day_source, ("theme", "src_common_name")),
     }
+    for grain, (_, names) in tables.items():
+        rows = stats.where(F.col("grain") == grain)
+        broken = check_stats(rows, (*names, "time")).take(5)
+        if broken:
+            raise ValueError(f"rows of {grain} break the rules of their table: {broken}")
     for grain, (path, names) in tables.items():
         rows = stats.where(F.col("grain") == grain).select(*names, *STATS_COLUMNS, "time")
         write_stats(rows, path)

@@ -118,28 +118,39 @@ def parse_documents(
     return rows.withColumn("themes", themes)
 
 
-def rejected_lines(lines: DataFrame, kind: str, require: Sequence[str] | None = None) -> DataFrame:
-    """Lines the parser leaves out, with the first rule they break.
+def rejected_lines(
+    lines: DataFrame,
+    kind: str,
+    require: Sequence[str] | None = None,
+    grain: str = "day",
+    check_width: bool = True,
+) -> DataFrame:
+    """Lines the parser leaves out when called with the same arguments, with the first rule they break.
 
     ``kind`` is ``mentions`` or ``documents``. Rules are tried in the order width,
-    empty, tone, time; the last two exist for mentions only.
+    empty, tone, time; the last two exist for mentions only. Without
+    ``check_width`` the width rule asks only for the fields that are used.
     """
     if kind == "mentions":
-        width, positions = MENTION_WIDTH, MENTION_FIELDS
+        width, positions, columns = MENTION_WIDTH, MENTION_FIELDS, _MENTION_COLUMNS
         require = MENTION_REQUIRED if require is None else require
     elif kind == "documents":
-        width, positions = DOCUMENT_WIDTH, DOCUMENT_FIELDS
+        width, positions, columns = DOCUMENT_WIDTH, DOCUMENT_FIELDS, _DOCUMENT_COLUMNS
         require = DOCUMENT_REQUIRED if require is None else require
     else:
         raise ValueError(f"unknown kind of lines: {kind!r}")
 
-    reason = F.when(~has_width(F.col("fields"), width), "width").when(
+    if check_width:
+        narrow = ~has_width(F.col("fields"), width)
+    else:
+        narrow = F.size("fields") <= max(positions[name] for name in (*columns, *require))
+    reason = F.when(narrow, "width").when(
         ~all_non_empty(*[_field(positions[name]) for name in require]), "empty"
     )
     if kind == "mentions":
         time = _field(positions["mention_time_date"])
         reason = reason.when(~is_number(_field(positions["mention_doc_tone"])), "tone").when(
-            GRAINS["day"](time).isNull(), "time"
+            GRAINS[grain](time).isNull(), "time"
         )
     return (
         _fields(lines, "value")

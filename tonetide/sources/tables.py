@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.schemas import STATS_COLUMNS
+from tonetide.schemas import HISTOGRAM_BINS, QUANTILE_PROBS, STATS_COLUMNS
 
 
 def check_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,19 +59,35 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def jdbc_rows(df: DataFrame, flatten: bool = False) -> DataFrame:
+def _spread(array: str, width: int, prefix: str) -> list[Column]:
+    """One column per element; an array of another size is an error, never cut."""
+    fits = F.size(array) == width
+    wrong = F.raise_error(F.concat(F.lit(f"{array} has not {width} elements but "), F.size(array)))
+    return [
+        F.when(fits, F.get(array, F.lit(i))).otherwise(wrong).alias(f"{prefix}{i}")
+        for i in range(width)
+    ]
+
+
+def jdbc_rows(
+    df: DataFrame,
+    flatten: bool = False,
+    quantiles: int = len(QUANTILE_PROBS),
+    cells: int = HISTOGRAM_BINS + 2,
+) -> DataFrame:
     """Result rows with the types of the database table.
 
     ``flatten`` spreads both arrays over plain columns (``q0``.., ``b0``..) for
-    databases without array columns.
+    databases without array columns; ``quantiles`` and ``cells`` say how many
+    elements they have.
     """
     rows = df.withColumn("num_mentions", F.col("num_mentions").cast("int"))
     if not flatten:
         return rows
     return rows.select(
         *[c for c in rows.columns if c not in ("quantiles", "bin_vals")],
-        *[F.get("quantiles", F.lit(i)).alias(f"q{i}") for i in range(5)],
-        *[F.get("bin_vals", F.lit(i)).alias(f"b{i}") for i in range(12)],
+        *_spread("quantiles", quantiles, "q"),
+        *_spread("bin_vals", cells, "b"),
     )
 
 

@@ -9,14 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 LITERAL_LIMIT = 10_000
 
 
+# Words come back as they were: blanks around them count, quotes are doubled.
+_FORM = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def read_vocab(spark: SparkSession, path: str, key_col: str) -> DataFrame:
     """The key column of a CSV list with a header, whatever columns stand around it."""
-    return spark.read.csv(path, header=True).select(key_col).dropna()
+    return spark.read.csv(path, **_FORM).select(key_col).dropna()
 
 
 def write_vocab(df: DataFrame, path: str) -> None:
     """Write a list as CSV with a header, one file unless the list is large."""
-    df.hint("rebalance").write.mode("overwrite").csv(path, header=True)
+    df.hint("rebalance").write.mode("overwrite").csv(path, quoteAll=True, **_FORM)
 
 
 def small_list(df: DataFrame, limit: int = LITERAL_LIMIT) -> list[str] | DataFrame:
