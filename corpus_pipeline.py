@@ -17,11 +17,16 @@ def toxicity(spark, docs, sf_dir):
 
 
 def minhash_near_dedup(spark, docs, sf_dir):
-    """Of every group of near copies the document with the smallest id stays."""
+    """Of every group of near copies the document with the smallest id stays.
+
+    Rows that repeat an id count as copies; rows without an id all stay.
+    """
     prepare(spark)
     found = hyperminhash.near_duplicates(docs)
     dropped = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id"])
+    named = docs.where("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti")
+    named = named.select(*docs.columns).dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup_stage(spark, docs, sf_dir):
