@@ -223,7 +223,7 @@ def test_toxicity_result_form(spark, sf_dir):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
 
 
-@pytest.mark.xfail(reason="known weakness, see README: area 0.78 on these rows, 0.68 at scale 0.1")
+@pytest.mark.xfail(reason="known weakness, see README: area 0.85 on these rows, 0.83 at scale 0.1")
 def test_toxicity_accuracy_on_held_out_documents(spark, sf_dir):
     prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -264,7 +264,7 @@ def test_toxicity_ignores_held_out_labels_and_takes_odd_rows(spark):
     assert toxicity_kn.score(spark, docs.limit(0), labels).collect() == []
 
 
-@pytest.mark.xfail(reason="known weakness, see README: word beginnings unseen in a class give no evidence")
+@pytest.mark.xfail(reason="known weakness, see README: words are judged whole, so an unseen one gives no evidence")
 def test_toxicity_of_an_unseen_word_with_a_toxic_beginning(spark):
     prepare(spark)
     rng = random.Random(3)
@@ -281,6 +281,42 @@ def test_toxicity_of_an_unseen_word_with_a_toxic_beginning(spark):
     assert out.where("doc_id = 903").first().score > 0.7
 
 
+def test_toxicity_finds_marked_documents_and_leaves_clean_ones(spark):
+    prepare(spark)
+    rng = random.Random(7)
+    calm = [a + b + c for a in ("gar", "win", "riv", "tab") for b in "aeiou" for c in ("den", "dow", "er", "le")]
+    rude = ["vilefoo", "vilebar", "vilebaz", "vilequx"]
+    rows = []
+    for i in range(900):
+        words = [rng.choice(calm) + rng.choice("abcdefgh") for _ in range(rng.randrange(20, 400))]
+        for k in range(0, len(words) if i % 6 == 0 else 0, 40):
+            words[k] = rng.choice(rude)
+        rows.append((i, " ".join(words), int(i % 6 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    out = toxicity_kn.score(spark, table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    held = out.where("held_out").join(table, "doc_id").collect()
+    toxic, clean = ([r.predicted for r in held if r.toxic == c] for c in (1, 0))
+    assert np.mean(toxic) > 0.9
+    assert np.mean(clean) < 0.01
+
+
+def test_toxicity_model_by_hand():
+    """A word of a tenth of the documents is left to the shared counts, a common one isn't."""
+    toxic, ordinary = toxicity_kn.Counts(), toxicity_kn.Counts()
+    toxic.documents, toxic.words, toxic.word_sum = 100, {"bad": 50, "so": 40, "odd": 10}, 100
+    ordinary.documents, ordinary.words, ordinary.word_sum = 200, {"so": 80, "all": 120}, 200
+    shared = {"bad": 0.2, "so": 0.4, "odd": 0.1, "all": 0.3}
+    model = toxicity_kn.Model(toxic, ordinary, shared, 0.1)
+    # Toxic: 10 documents off each word leave 0.3 to the shared counts. Ordinary counts
+    # are halved to 40 and 60; 15 off each leave the same.
+    assert model.words["bad"] == pytest.approx(math.log((0.4 + 0.3 * 0.2) / (0.3 * 0.2)))
+    assert model.words["so"] == pytest.approx(math.log((0.3 + 0.3 * 0.4) / (0.25 + 0.3 * 0.4)))
+    assert model.words.get("odd", 0.0) == pytest.approx(0.0, abs=1e-9)
+    assert toxicity_kn.features([model], "Bad bad new")[0] == pytest.approx(
+        model.words["bad"] / (2 + toxicity_kn.FEW_WORDS)
+    )
+
+
 # -- pipeline ------------------------------------------------------------------------
 
 

@@ -1,18 +1,24 @@
-"""Toxicity from class-conditional Kneser-Ney models of how words are built.
-
-A word is a run of letters, its characters the symbols of an interpolated model with
-absolute discounting. Up to trigrams the model is shared: its counts come from the
-whole corpus. From four to six characters there are counts of toxic and of ordinary
-documents apart, and where they know little they fall back on the shared ones, so a
-rare expression is judged by its parts. A distinct word counts with the logarithm of
-its occurrences, as lower orders of such models count types rather than tokens;
-otherwise copies of one document would decide.
-
-A document scores the difference of its two log-likelihoods over its number of
-words, and a logistic curve fitted on other labelled documents turns that into a
-chance. Counting over the corpus and scoring run on all documents; the class models
-come from a bounded sample of labelled rows (FIT_ROWS of either class), so what is
-broadcast is bounded by that sample.
+"""Toxicity from class-conditional Kneser-Ney models of words.
+
+Words are runs of letters in lower case. An interpolated model with absolute
+discounting gives the chance of a word after the one before it, once as counted in
+toxic and once in ordinary documents; a pair falls back on the word, and the word on
+counts that both classes share and that come from the whole corpus. As in the lower
+orders of such models, counts are numbers of contexts, not of tokens: a context is a
+document, so a word repeated inside one counts once.
+
+The discount is in documents, a share of the smaller class: expressions of fewer
+documents are left to the shared counts entirely, for a word met a few times says
+nothing of its class. Counts of the larger class are brought to the size of the
+smaller one, and its discount is set so that both give the same mass to the shared
+counts. A word that neither class knows is then evidence for neither.
+
+A document scores the difference of the two log-likelihoods over its distinct words,
+each at its first use, divided by their number. A logistic curve fitted on other
+labelled documents turns that into a chance; they also choose the discount. Counting
+over the corpus and scoring run on all documents; the class models come from a bounded
+sample of labelled rows (FIT_ROWS of either class), so what is broadcast is bounded by
+that sample.
 """
 
 from __future__ import annotations
@@ -32,15 +38,11 @@ from tonetide.llm.common import keep, pieces
 # the curve is fitted on: those with the smallest hashes.
 FIT_ROWS = 2_000
 CURVE_ROWS = 6_000
-SHARED_ORDER = 3
-ORDER = 6
-DISCOUNT = 0.75
-# Distinct characters assumed below the unigrams.
-ALPHABET = 200
-# Added to the number of words, so that a few words prove little.
-FEW_WORDS = 3
+# Discounts to choose from, as shares of the documents of the smaller class.
+DISCOUNTS = (0.01, 0.02, 0.05, 0.1, 0.2)
+# Added to the number of distinct words, so that a few words prove little.
+FEW_WORDS = 30
 PREDICT = 0.7
-CACHE_WORDS = 400_000
 
 LETTERS = r"[^\x00-\x60\x7b-\x7f]+"
 
@@ -49,109 +51,115 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def _word_counts(docs: DataFrame, *keys: str) -> DataFrame:
-    words = F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))
+def _documents_with(docs: DataFrame, pairs: bool, *keys: str) -> DataFrame:
+    """``gram`` and ``n``: in how many documents a word, or a pair ``before word``, is."""
+    found = docs.select(*keys, F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)).alias("words"))
+    grams = F.col("words")
+    if pairs:
+        before = F.concat(F.array(F.lit("")), F.col("words"))
+        grams = F.zip_with("words", before, lambda word, v: F.concat(v, F.lit(" "), word))
+        # The last word is nobody's history here.
+        grams = F.filter(grams, lambda gram: gram.isNotNull())
     return (
-        docs.select(*keys, F.explode(words).alias("word"))
-        .groupBy(*keys, "word")
-        .agg(F.log2(F.count("*") + 1).alias("n"))
+        found.select(*keys, F.explode(F.array_distinct(grams)).alias("gram"))
+        .groupBy(*keys, "gram")
+        .agg(F.count("*").alias("n"))
     )
 
 
-def _grams(words: DataFrame, low: int, high: int, *keys: str) -> DataFrame:
-    """Character n-grams of ``^word$`` that end after its first character, with weights."""
-    ends = words.withColumn("s", F.concat(F.lit("^"), "word", F.lit("$"))).select(
-        *keys, "s", "n", F.explode(F.expr("sequence(2, length(s))")).alias("end")
-    )
-    sizes = f"sequence({low}, least({high}, end))"
-    return (
-        ends.where(F.col("end") >= low)
-        .select(*keys, "n", F.explode(F.expr(f"transform({sizes}, q -> substring(s, end - q + 1, q))")).alias("gram"))
-        .groupBy(*keys, "gram")
-        .agg(F.sum("n").alias("n"))
-    )
+class Counts:
+    """Counts of one class; those of a single document are only summed up."""
 
+    def __init__(self) -> None:
+        self.documents = 0
+        self.words: dict[str, int] = {}
+        self.word_sum = 0
+        self.pairs: dict[tuple[str, str], int] = {}
+        self.pair_sums: dict[str, int] = {}
 
-def shared_trigrams(docs: DataFrame) -> DataFrame:
-    """``gram`` and ``p``: chance of a trigram's last character after the other two."""
-    grams = keep(_grams(_word_counts(docs), 1, SHARED_ORDER), "shared-grams")
-    below = None
-    for order in range(1, SHARED_ORDER + 1):
-        own = grams.where(F.length("gram") == order).withColumn(
-            "context", F.substring("gram", 1, order - 1) if order > 1 else F.lit("")
-        )
-        sums = own.groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("types"))
-        own = own.join(sums, "context")
-        if below is None:
-            base = F.lit(1 / ALPHABET)
-        else:
-            own = own.withColumn("suffix", F.substring("gram", 2, order)).join(
-                below.select(F.col("gram").alias("suffix"), F.col("p").alias("base")), "suffix"
-            )
-            base = F.col("base")
-        p = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("types") * base) / F.col("all")
-        below = own.select("gram", p.alias("p"))
-    return below
 
+def _mass(words: np.ndarray, total: float, discount: float) -> float:
+    """What a discount leaves for the shared counts."""
+    return 1 - float(np.maximum(words - discount, 0).sum()) / total
 
-class Model:
-    """Log-ratios of the class models for n-grams, and of their fall-back weights."""
 
-    def __init__(self, toxic: dict[str, float], ordinary: dict[str, float], shared: dict[str, float]):
-        counts = (toxic, ordinary)
-        total: tuple[dict, dict] = ({}, {})
-        types: tuple[dict, dict] = ({}, {})
+class Model:
+    """Logarithms of how much likelier words and pairs are in toxic text."""
+
+    def __init__(self, toxic: Counts, ordinary: Counts, shared: dict[str, float], share: float):
+        classes = (toxic, ordinary)
+        least = min(toxic.word_sum, ordinary.word_sum)
+        scale = [least / c.word_sum for c in classes]
+        small = 0 if toxic.word_sum == least else 1
+        counts = [np.array(list(c.words.values()), float) * z for c, z in zip(classes, scale)]
+        discount = [max(1.0, share * classes[small].documents)] * 2
+        mass = _mass(counts[small], least, discount[small])
+        low, high = 0.0, float(counts[1 - small].max(initial=0.0))
+        for _ in range(60):
+            middle = (low + high) / 2
+            if _mass(counts[1 - small], least, middle) < mass:
+                low = middle
+            else:
+                high = middle
+        discount[1 - small] = high
+        fall = [_mass(n, least, d) for n, d in zip(counts, discount)]
+
+        def chance(c: int, word: str) -> float:
+            n = classes[c].words.get(word, 0) * scale[c]
+            return max(n - discount[c], 0.0) / least + fall[c] * shared[word]
+
+        rest = math.log(fall[0] / fall[1])
+        self.words = {}
+        for word in toxic.words.keys() | ordinary.words.keys():
+            gain = math.log(chance(0, word) / chance(1, word)) - rest
+            if gain:
+                self.words[word] = gain
+
+        over: tuple[dict, dict] = ({}, {})
+        kept = []
         for c in (0, 1):
-            for gram, n in counts[c].items():
-                h = gram[:-1]
-                total[c][h] = total[c].get(h, 0.0) + n
-                types[c][h] = types[c].get(h, 0) + 1
-        self.known: dict[str, float] = {}
-        self.fall = {}
-        for h in total[0].keys() | total[1].keys():
-            weight = [DISCOUNT * types[c][h] / total[c][h] if h in total[c] else 1.0 for c in (0, 1)]
-            self.fall[h] = math.log(weight[0] / weight[1])
-        chance: tuple[dict, dict] = ({}, {})
-        self.gain = {}
-        for gram in sorted(toxic.keys() | ordinary.keys(), key=len):
-            h, lower = gram[:-1], gram[1:]
+            for pair, n in classes[c].pairs.items():
+                n = n * scale[c] - discount[c]
+                if n > 0:
+                    kept.append(pair)
+                    over[c][pair[0]] = over[c].get(pair[0], 0.0) + n
+        # Histories without a pair above the discount pass all on: no evidence.
+        left: dict[str, list[float]] = {}
+        for v in over[0].keys() | over[1].keys():
+            left[v] = [
+                1 - over[c].get(v, 0.0) / (classes[c].pair_sums[v] * scale[c]) if v in over[c] else 1.0
+                for c in (0, 1)
+            ]
+        self.fall = {v: math.log(max(a, 1e-9) / max(b, 1e-9)) for v, (a, b) in left.items()}
+        self.pairs = {}
+        for v, word in kept:
+            p = []
             for c in (0, 1):
-                base = shared.get(lower, 1e-6) if len(gram) == SHARED_ORDER + 1 else chance[c][lower]
-                if h in total[c]:
-                    n = max(counts[c].get(gram, 0.0) - DISCOUNT, 0.0)
-                    base = (n + DISCOUNT * types[c][h] * base) / total[c][h]
-                chance[c][gram] = base
-            self.gain[gram] = math.log(chance[0][gram] / chance[1][gram])
-
-    def word(self, word: str) -> float:
-        """How much likelier the word is in toxic text, as a logarithm."""
-        s, out = f"^{word}$", 0.0
-        gain, fall = self.gain, self.fall
-        for j in range(SHARED_ORDER, len(s)):
-            for q in range(min(ORDER, j + 1), SHARED_ORDER, -1):
-                gram = s[j - q + 1 : j + 1]
-                found = gain.get(gram)
-                if found is not None:
-                    out += found
-                    break
-                out += fall.get(gram[:-1], 0.0)
-        return out
+                n = max(classes[c].pairs.get((v, word), 0) * scale[c] - discount[c], 0.0)
+                own = n / (classes[c].pair_sums[v] * scale[c]) if n else 0.0
+                p.append(own + max(left[v][c], 1e-9) * chance(c, word))
+            self.pairs[v, word] = math.log(p[0] / p[1]) - rest
 
 
 _LETTERS = re.compile(LETTERS)
 
 
-def feature(model: Model, text: str, known: dict[str, float]) -> float:
+def features(models: list[Model], text: str) -> list[float]:
+    """Per model, the mean log-ratio of the text's distinct words at their first use."""
     words = _LETTERS.findall(text.lower())
-    total = 0.0
-    for word in words:
-        value = known.get(word)
-        if value is None:
-            value = model.word(word)
-            if len(known) < CACHE_WORDS and len(word) <= 64:
-                known[word] = value
-        total += value
-    return total / (len(words) + FEW_WORDS)
+    first = dict.fromkeys(words)
+    for i in range(len(words) - 1, -1, -1):
+        first[words[i]] = i
+    out = []
+    for model in models:
+        known, fall, pairs = model.words, model.fall, model.pairs
+        total = 0.0
+        for word, i in first.items():
+            v = words[i - 1] if i else ""
+            gain = pairs.get((v, word)) if v in fall else None
+            total += known.get(word, 0.0) + fall.get(v, 0.0) if gain is None else gain
+        out.append(total / (len(first) + FEW_WORDS))
+    return out
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -177,11 +185,39 @@ def _sample(labels: DataFrame, docs: DataFrame, rows: int) -> DataFrame:
     return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic").dropDuplicates()
 
 
+def _counts(spark: SparkSession, docs: DataFrame, texts: DataFrame) -> tuple[Counts, Counts, dict[str, float]]:
+    """Counts of the toxic and the ordinary sample, and the corpus chances of their words."""
+    classes = (Counts(), Counts())
+    for row in texts.groupBy("toxic").count().collect():
+        classes[1 - row["toxic"]].documents = row["count"]
+    words = keep(_documents_with(texts, False, "toxic"), "class-words")
+    pairs = keep(_documents_with(texts, True, "toxic"), "class-pairs")
+    # All of this is bounded by FIT_ROWS documents of either class.
+    for row in words.groupBy("toxic").agg(F.sum("n").alias("n")).collect():
+        classes[1 - row["toxic"]].word_sum = row["n"]
+    for row in words.where("n > 1").toLocalIterator():
+        classes[1 - row["toxic"]].words[row["gram"]] = row["n"]
+    repeated = pairs.where("n > 1")
+    for row in repeated.toLocalIterator():
+        v, word = row["gram"].split(" ")
+        classes[1 - row["toxic"]].pairs[v, word] = row["n"]
+    before = F.substring_index("gram", " ", 1)
+    sums = pairs.groupBy("toxic", before.alias("v")).agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    for row in sums.where("most > 1").toLocalIterator():
+        classes[1 - row["toxic"]].pair_sums[row["v"]] = row["n"]
+
+    corpus = keep(_documents_with(docs, False), "shared-words")
+    total = corpus.agg(F.sum("n")).first()[0] or 1
+    wanted = words.where("n > 1").select("gram").distinct()
+    shared = corpus.join(wanted, "gram", "left_semi")
+    return *classes, {row["gram"]: row["n"] / total for row in shared.toLocalIterator()}
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float] | None:
     """The model and its curve; None without labelled documents of both classes.
 
     Only labels whose id has a remainder other than 1 are looked at: remainder 0
-    for the class models, 2 for the curve.
+    for the class models, 2 for the curve and the discount.
     """
     labels = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -193,37 +229,38 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Model,
     texts = keep(
         _sample(fitting[0], docs, FIT_ROWS).union(_sample(fitting[1], docs, FIT_ROWS)), "fit"
     )
-    grams = _grams(_word_counts(texts, "toxic"), SHARED_ORDER + 1, ORDER, "toxic")
-    grams = keep(grams, "class-grams")
-    suffix = grams.where(F.length("gram") == SHARED_ORDER + 1).select(F.expr("substring(gram, 2)").alias("gram"))
-    shared = shared_trigrams(docs).join(suffix.distinct(), "gram", "left_semi")
-    counts: tuple[dict, dict] = ({}, {})
-    for row in grams.toLocalIterator():
-        counts[1 - row["toxic"]][row["gram"]] = row["n"]
-    if not counts[0] or not counts[1]:
+    toxic, ordinary, shared = _counts(spark, docs, texts)
+    if not toxic.word_sum or not ordinary.word_sum:
         return None
-    model = Model(*counts, {row["gram"]: row["p"] for row in shared.toLocalIterator()})
+    models = [Model(toxic, ordinary, shared, share) for share in DISCOUNTS]
 
     curve = keep(_sample(labels.where(fold == 2), docs, CURVE_ROWS), "curve")
-    marked = [(r["x"], r["toxic"]) for r in _features(spark, curve, model, "toxic").toLocalIterator()]
-    x, y = np.array(marked, float).reshape(-1, 2).T
+    marked = [(*r["x"], r["toxic"]) for r in _features(spark, curve, models, "toxic").toLocalIterator()]
+    table = np.array(marked, float).reshape(-1, len(models) + 1)
+    y = table[:, -1]
     if y.min(initial=1) == y.max(initial=0):
         return None
-    return model, *fit_curve(x, y)
+    best = None
+    for model, x in zip(models, table.T):
+        slope, base = fit_curve(x, y)
+        loss = np.logaddexp(0, np.where(y == 1, -1, 1) * (x * slope + base)).sum()
+        if best is None or loss < best[0]:
+            best = loss, model, slope, base
+    return best[1:]
 
 
-def _features(spark: SparkSession, docs: DataFrame, model: Model, key: str) -> DataFrame:
-    shipped = spark.sparkContext.broadcast(model)
+def _features(spark: SparkSession, docs: DataFrame, models: list[Model], key: str) -> DataFrame:
+    """``key`` and ``x``, the features by the models."""
+    shipped = spark.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
-        known = own.known
         for batch in pieces(batches):
-            found = [feature(own, text or "", known) for text in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.float64())], [key, "x"])
+            found = [features(own, text or "") for text in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.float64()))], [key, "x"])
 
     kind = dict(docs.dtypes)[key]
-    return docs.select(key, "text").mapInArrow(run, f"{key} {kind}, x double")
+    return docs.select(key, "text").mapInArrow(run, f"{key} {kind}, x array<double>")
 
 
 def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,8 +278,8 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
         value = docs.withColumn("score", F.lit(0.0))
     else:
         model, slope, base = fitted
-        z = F.col("x") * slope + base
-        value = _features(spark, docs, model, "doc_id").withColumn("score", 1 / (1 + F.exp(-z)))
+        z = F.col("x")[0] * slope + base
+        value = _features(spark, docs, [model], "doc_id").withColumn("score", 1 / (1 + F.exp(-z)))
     return value.select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
