@@ -1,0 +1,237 @@
+"""The filter audit and the prefix trie against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from tonetide.llm import filter_audit, prefix_trie, queries
+from tonetide.llm.common import prepare
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.mark.parametrize("name", ["op11_filter_audit", "op13_prefix_trie"])
+def test_equals_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for table in ("documents", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    wanted = con.execute(queries.oracle_sql()[name])
+    columns = [c[0] for c in wanted.description]
+    got = queries.queries()[name](spark, sf_dir)
+    assert sorted(got.columns) == sorted(columns)
+    assert Counter(map(tuple, got.select(columns).collect())) == Counter(wanted.fetchall())
+
+
+# -- filter audit ------------------------------------------------------------------
+
+
+def brute_audit(docs, labels):
+    good, toxic, fails = set(), set(), []
+    for doc_id, quality, bad in labels:
+        if quality == 1:
+            good.add(doc_id)
+        if bad == 1:
+            toxic.add(doc_id)
+    good, toxic = good - {None}, toxic - {None}
+    for doc_id, text, lang in docs:
+        text = text or ""
+        words = WORD.findall(text)
+        f = "A" * (len(words) < 200)
+        f += "B" * (100 * len(set(words)) < 50 * len(words))
+        f += "C" * (100 * len(re.findall("[A-Z]", text)) > 3 * len(text))
+        f += "D" * bool(re.search(r"[#$%&*|]", text))
+        same = [d for d, t, _ in docs if (t or "") == text and d is not None]
+        f += "E" * (doc_id is not None and min(same) < doc_id)
+        fails.append((lang or "", f, doc_id))
+    out = {}
+    for part in {p for p, _, _ in fails}:
+        rows = [(f, d) for p, f, d in fails if p == part]
+        shapley = Counter()
+        for order in itertools.permutations("ABCDE"):
+            for f, _ in rows:
+                stop = next((c for c in order if c in f), None)
+                shapley[stop] += 1
+        for order in itertools.permutations("ABCDE"):
+            left = rows
+            for step, letter in enumerate(order, 1):
+                gone = [r for r in left if letter in r[0]]
+                stay = [r for r in left if letter not in r[0]]
+                hit = sum(letter in f for f, _ in rows)
+                out[part, "".join(order), step] = (
+                    len(stay),
+                    len(gone),
+                    hit - len(gone),
+                    sum(f == letter for f, _ in rows),
+                    sum(d in good for _, d in gone),
+                    sum(d in toxic for _, d in gone),
+                    shapley[letter],
+                )
+                left = stay
+    return out
+
+
+def audited(spark, docs, labels, extra=""):
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    if extra:
+        for name in extra.split():
+            table = table.selectExpr("*", f"1 AS {name}")
+    rows = filter_audit.audit(table, marks).collect()
+    return {
+        (r.part, r.filter_order, r.step): (
+            r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley,
+        )
+        for r in rows
+    }
+
+
+def test_audit_equals_brute_force(spark):
+    rng = random.Random(5)
+    prepare(spark)
+    texts = [None, "", " \t", "A B C", "x " * 300, "wort " * 10 + "# %"]
+    for _ in range(25):
+        vocabulary = [f"w{i}é" for i in range(rng.choice([50, 500]))]
+        body = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(150, 260)))
+        texts.append(body + rng.choice(["", " $5", " LOUD VOICE HERE AND THERE", "\x0bend same"]))
+    docs = [(i if rng.random() < 0.95 else None, rng.choice(texts), rng.choice(["en", "de", None, ""])) for i in range(150)]
+    docs += docs[:3]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, 200, 2)]
+    labels += [(4, 1, 0), (4, 0, 1), (None, 1, 1)]
+    assert audited(spark, docs, labels, "n term shard part fails good words") == brute_audit(docs, labels)
+
+
+def test_audit_of_nothing_and_of_one_long_text(spark, monkeypatch):
+    assert audited(spark, [], []) == {}
+    assert filter_audit._counts(b"ab cd " * 1_000_000) == {b"ab": 1_000_000, b"cd": 1_000_000}
+    docs = [(1, "ab cd " * 1_000_000, "en"), (2, "a", "en")]
+    assert audited(spark, docs, []) == brute_audit(docs, [])
+
+
+def test_matrix_holds_the_words_of_every_text(spark):
+    docs = [(1, "b a b", "en"), (2, "", "en"), (3, "c a", "de")]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    shards = filter_audit.keep(filter_audit.local_shards(table))
+    words = filter_audit.keep(filter_audit.dictionary(shards))
+    names = {r.term: bytes(r.word).decode() for r in words.collect()}
+    assert sorted(names.values()) == ["a", "b", "c"]
+    found = {}
+    for r in filter_audit.csr_shards(shards, words).collect():
+        for i, doc_id in enumerate(r.doc_ids):
+            span = slice(r.indptr[i], r.indptr[i + 1])
+            found[doc_id] = dict(zip([names[t] for t in r.terms[span]], r.counts[span], strict=True))
+    assert found == {1: {"a": 1, "b": 2}, 2: {}, 3: {"a": 1, "c": 1}}
+
+
+# -- prefix trie -------------------------------------------------------------------
+
+
+def brute_trie(turns, rebuild):
+    of = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            of[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in sorted(rows, key=lambda x: x[0])] for c, rows in of.items()}
+    if rebuild:
+        full = {}
+        for c, rows in own.items():
+            h = zlib.crc32(str(c).encode()) % 9
+            full[c] = own.get(c - c % 5, [])[:h] + rows[h:]
+        own = full
+    members, ends = defaultdict(set), defaultdict(list)
+    for c, rows in own.items():
+        for d in range(len(rows) + 1):
+            members[tuple(rows[:d])].add(c)
+        ends[tuple(rows)].append(c)
+    below = {n: [m for m in members if m[: len(n)] == n] for n in members}
+    kids = Counter(n[:-1] for n in members if n)
+    out = []
+    for n, convs in members.items():
+        out.append(
+            (
+                min(convs),
+                len(n),
+                min(members[n[:-1]]) if n else None,
+                len(convs),
+                kids[n],
+                sum(not kids[m] for m in below[n]),
+                sum((len(members[m]) - 1) * len(m[-1][1].encode()) for m in below[n] if m),
+                hashlib.sha256(",".join(map(str, sorted(ends[n]))).encode()).hexdigest(),
+            )
+        )
+    return Counter(out)
+
+
+def trie(spark, turns, rebuild, local_nodes):
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    table = table.selectExpr("*", "1 AS pos", "2 AS depth", "3 AS k1", "4 AS n_convs")
+    build = prefix_trie.shared_prefix_trie if rebuild else prefix_trie.prefix_trie
+    return Counter(tuple(r) for r in build(table, local_nodes=local_nodes).collect())
+
+
+def some_turns(seed):
+    rng = random.Random(seed)
+    turns = []
+    for conv in rng.sample(range(300), 60):
+        for turn in range(rng.randint(1, 7)):
+            text = rng.choice(["a", "b", "", None, "längerer Satz"])
+            turns.append((conv, turn if turn else rng.choice([None, 0]), rng.choice(["user", None]), text))
+    # One conversation holds a third of all rows, another copies its opening.
+    turns += [(1000, i, "user", f"t{i % 3}") for i in range(90)]
+    turns += [(1001, i, "user", f"t{i % 3}") for i in range(40)]
+    turns += [(None, 1, "user", "lost")]
+    rng.shuffle(turns)
+    return turns
+
+
+@pytest.mark.parametrize("rebuild", [False, True])
+@pytest.mark.parametrize("local_nodes", [prefix_trie.LOCAL_NODES, 15])
+def test_trie_equals_brute_force(spark, monkeypatch, rebuild, local_nodes):
+    monkeypatch.setattr(prefix_trie, "BLOCK_TURNS", 16)
+    turns = some_turns(1)
+    assert trie(spark, turns, rebuild, local_nodes) == brute_trie(turns, rebuild)
+
+
+def test_trie_of_nothing_and_of_turnless_conversations(spark):
+    assert not trie(spark, [], True, 10)
+    turns = [(1, 0, "user", "x"), (2, 0, "user", "y")]
+    assert trie(spark, turns, True, 10) == brute_trie(turns, True)
+    # Conversations 6 to 9 have no conversation 5 to take an opening from.
+    turns = [(c, 0, "user", "x") for c in (6, 7, 8, 9)]
+    assert trie(spark, turns, True, 10) == brute_trie(turns, True)
+
+
+def test_repeated_turns_stay_separate(spark):
+    turns = [(1, 0, "user", "x")] * 3 + [(2, 0, "user", "x")]
+    assert trie(spark, turns, False, 10) == brute_trie(turns, False)
+
+
+def test_ids_of_one_node_in_many_pieces(spark, monkeypatch):
+    turns = [(c, 0, "user", "same") for c in range(20_000)]
+    assert trie(spark, turns, False, 10) == brute_trie(turns, False)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_decomposition_equals_plain_sums(seed):
+    rng = np.random.default_rng(seed)
+    n = 400
+    parent = np.array([-1 if i < 5 else int(rng.integers(max(0, i - 1 - 30 * (seed % 2)), i)) for i in range(n)])
+    depth = np.zeros(n, np.int64)
+    for i in range(n):
+        depth[i] = 0 if parent[i] < 0 else depth[parent[i]] + 1
+    values = rng.integers(0, 10, (n, 2))
+    own = rng.integers(1, 4, n)
+    sums, weight = values.copy(), own.copy()
+    for i in range(n - 1, -1, -1):
+        if parent[i] >= 0:
+            sums[parent[i]] += sums[i]
+            weight[parent[i]] += weight[i]
+    assert (prefix_trie.decompose(parent, depth, weight, values) == sums).all()

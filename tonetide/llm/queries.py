@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 
 from tonetide.llm import (
+    filter_audit,
     hyperminhash,
     merge_replay,
     mixing,
+    prefix_trie,
     quality_llr,
     seekable_ids,
     substring_dedup,
@@ -76,6 +78,17 @@ def op8_minhash_near_dedup(spark, sf_dir):
     )
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(
+        table(prepare(spark), sf_dir, "documents", "doc_id", "text", "lang"),
+        table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"),
+    )
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.shared_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries():
     return {
         query.__name__: query
@@ -90,9 +103,14 @@ def queries():
             op8_minhash_near_dedup,
             op9_toxicity,
             op10_quality_rules,
+            op11_filter_audit,
+            op13_prefix_trie,
         )
     }
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op11_filter_audit": filter_audit.ORACLE_SQL,
+        "op13_prefix_trie": prefix_trie.ORACLE_SQL,
+    }
