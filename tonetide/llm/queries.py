@@ -7,6 +7,7 @@ import public_tokenizers
 from tonetide.llm import (
     filter_audit,
     hyperminhash,
+    license_scan,
     merge_replay,
     mixing,
     prefix_trie,
@@ -85,6 +86,10 @@ def op11_filter_audit(spark, sf_dir):
     )
 
 
+def op12_license_scan(spark, sf_dir):
+    return license_scan.scan(table(prepare(spark), sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     return prefix_trie.shared_prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -104,6 +109,7 @@ def queries():
             op9_toxicity,
             op10_quality_rules,
             op11_filter_audit,
+            op12_license_scan,
             op13_prefix_trie,
         )
     }

@@ -56,8 +56,11 @@ class Words:
         return self.hashes[self.first[text] : self.first[text + 1]]
 
 
-def words_of(texts: pa.StringArray, lower: bool = True) -> Words:
-    """Hash the words of every text; a null has none. Byte ranges count from its text's start."""
+def words_of(texts: pa.StringArray, lower: bool = True, gaps: np.ndarray = _SPACE) -> Words:
+    """Hash the words of every text; a null has none. Byte ranges count from its text's start.
+
+    ``gaps`` tells for each byte value whether it separates words.
+    """
     at = offsets(texts)
     size = int(at[-1] - at[0])
     if not size or texts.buffers()[2] is None:
@@ -65,7 +68,7 @@ def words_of(texts: pa.StringArray, lower: bool = True) -> Words:
         return Words(none.astype(np.uint64), none, none, np.zeros(len(texts) + 1, np.int64))
     data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]]
     at = at - at[0]
-    ink = ~_SPACE[data]
+    ink = ~gaps[data]
     edge = np.zeros(size + 1, bool)
     edge[at] = True
     begins = ink.copy()
