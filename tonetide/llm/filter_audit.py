@@ -2,9 +2,9 @@
 
 Texts become a document-term matrix in compressed sparse rows. Tasks first encode a
 few MB of texts each with a dictionary of their own (``local_shards``). The distinct
-words of all shards form one dictionary with a number per word, and only a shard's own
-distinct words are looked up in it, so a word that is everywhere costs a row per shard,
-not a row per document. With the numbers put in, a shard is a piece of the matrix
+words of all shards form one dictionary with a number per word (``number_words``), and
+only a shard's own distinct words are shuffled for it, so a word that is everywhere costs
+a row per shard, not a row per document. With the numbers put in, a shard is a piece of the matrix
 (``csr_shards``): ``indptr``, ``terms``, ``counts``. The sum of a row is the text's
 number of words, its stored entries are its distinct words; these decide the first two
 filters (``row_flags``).
@@ -27,17 +27,16 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
-import re
-import uuid
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonetide.llm.common import PIECE_BYTES, keep, offsets
+from tonetide.llm.common import keep, offsets
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -45,21 +44,27 @@ LEAST_DISTINCT_PERCENT = 50
 MOST_CAPITAL_PERCENT = 3
 SYMBOLS = b"#$%&*|"
 # Texts of one shard, in bytes and rows; a longer text is a shard of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 SHARD_ROWS = 16_384
 
-_SPACE = re.compile(rb"[\x20\x09-\x0d]")
-
 _ROWS = (
     "doc_ids array<long>, langs array<string>, digests array<binary>, "
     "capitals array<boolean>, symbols array<boolean>, indptr array<long>, "
 )
-LOCAL_SCHEMA = f"shard string, {_ROWS}words array<binary>, places array<int>, counts array<int>"
-CSR_SCHEMA = f"shard string, {_ROWS}terms array<long>, counts array<int>"
+LOCAL_SCHEMA = f"shard long, {_ROWS}words array<binary>, places array<int>, counts array<int>"
+CSR_SCHEMA = f"shard long, {_ROWS}terms array<long>, counts array<int>"
+NUMBERS_SCHEMA = "shard long, base long, at array<int>, low array<int>, words array<binary>"
 FLAGS_SCHEMA = (
     "doc_id long, lang string, digest binary, n_words long, n_distinct long, "
     "A boolean, B boolean, C boolean, D boolean"
 )
+# Words a task numbers before it hands them back by shard.
+NUMBERED_ROWS = 500_000
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, 9, 10, 11, 12, 13]] = True
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[list(SYMBOLS)] = True
 
 
 def local_shards(docs: DataFrame) -> DataFrame:
@@ -70,74 +75,54 @@ def local_shards(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_encode, LOCAL_SCHEMA)
 
 
-def _counts(text: bytes) -> Counter:
-    """Words of a text with their number; a long text in pieces that end at a space."""
-    if len(text) <= PIECE_BYTES:
-        return Counter(text.split())
-    found: Counter = Counter()
-    at = 0
-    while at < len(text):
-        end = _SPACE.search(text, at + PIECE_BYTES)
-        to = end.start() if end else len(text)
-        found.update(text[at:to].split())
-        at = to
-    return found
-
-
-class _Shard:
-    def __init__(self) -> None:
-        self.index = defaultdict(itertools.count().__next__)
-        self.rows: list[tuple] = []
-        self.places: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.bytes = 0
-
-    def add(self, doc_id, lang, text: bytes) -> None:
-        found = _counts(text)
-        index = self.index
-        self.places.append(np.array([index[word] for word in found], np.int32))
-        self.counts.append(np.fromiter(found.values(), np.int32, len(found)))
-        letters = np.frombuffer(text, np.uint8)
-        capitals = int(((letters >= 65) & (letters <= 90)).sum())
-        points = int(((letters & 0xC0) != 0x80).sum())
-        self.rows.append(
-            (
-                doc_id,
-                lang,
-                hashlib.sha256(text).digest(),
-                100 * capitals > MOST_CAPITAL_PERCENT * points,
-                any(symbol in text for symbol in SYMBOLS),
-            )
-        )
-        self.bytes += len(text)
-
-    def full(self) -> bool:
-        return self.bytes >= SHARD_BYTES or len(self.rows) >= SHARD_ROWS
-
-    def batch(self) -> pa.RecordBatch:
-        ids, langs, digests, capitals, symbols = zip(*self.rows, strict=True)
-        indptr = np.concatenate([[0], np.cumsum([len(p) for p in self.places])])
-        return _one_row(
-            shard=pa.array([uuid.uuid4().hex]),
-            doc_ids=pa.array(ids, pa.int64()),
-            langs=pa.array(langs, pa.string()),
-            digests=pa.array(digests, pa.binary()),
-            capitals=pa.array(capitals, pa.bool_()),
-            symbols=pa.array(symbols, pa.bool_()),
-            indptr=pa.array(indptr, pa.int64()),
-            words=pa.array(list(self.index), pa.binary()),
-            places=pa.array(np.concatenate(self.places), pa.int32()),
-            counts=pa.array(np.concatenate(self.counts), pa.int32()),
-        )
-
-
-def _one_row(shard: pa.Array, **lists: pa.Array) -> pa.RecordBatch:
+def _lists(shard: pa.Array, **lists: pa.Array) -> pa.RecordBatch:
+    """One row; every list is the whole of an array."""
     columns = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists.values()]
     return pa.RecordBatch.from_arrays([shard, *columns], names=["shard", *lists])
 
 
+def _shard(number: int, rows: list[tuple]) -> pa.RecordBatch:
+    """Encode some texts with a dictionary of their own."""
+    ids, langs, texts = zip(*rows, strict=True)
+    # A line end behind each text keeps words apart and every text non-empty.
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    start = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    ink = ~_BLANK[data]
+    begin = np.flatnonzero(ink & ~np.concatenate([[False], ink[:-1]]))
+    end = np.flatnonzero(ink & ~np.concatenate([ink[1:], [False]])) + 1
+    bounds = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32)
+    tokens = pa.BinaryArray.from_buffers(
+        pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(data[ink])]
+    )
+    coded = tokens.dictionary_encode()
+    width = max(1, len(coded.dictionary))
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(begin, start)))
+    cells, counts = np.unique(owner * width + coded.indices.to_numpy(), return_counts=True)
+    indptr = np.searchsorted(cells, np.arange(len(texts) + 1) * width)
+
+    def sums(which: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(which, start[:-1], dtype=np.int64)
+
+    capitals = sums((data >= 65) & (data <= 90))
+    points = sums((data & 0xC0) != 0x80) - 1
+    return _lists(
+        pa.array([number], pa.int64()),
+        doc_ids=pa.array(ids, pa.int64()),
+        langs=pa.array(langs, pa.string()),
+        digests=pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+        capitals=pa.array(100 * capitals > MOST_CAPITAL_PERCENT * points),
+        symbols=pa.array(sums(_SYMBOL[data]) > 0),
+        indptr=pa.array(indptr, pa.int64()),
+        words=coded.dictionary,
+        places=pa.array((cells % width).astype(np.int32)),
+        counts=pa.array(counts.astype(np.int32)),
+    )
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shard = _Shard()
+    # The same input partition gives the same shards under the same numbers.
+    number = TaskContext.get().partitionId() << 32
+    rows, size = [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -146,51 +131,117 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = offsets(texts)
         raw = memoryview(texts.buffers()[2] or b"")
         for i, (doc_id, lang) in enumerate(zip(ids, langs, strict=True)):
-            shard.add(doc_id, lang, bytes(raw[at[i] : at[i + 1]]))
-            if shard.full():
-                yield shard.batch()
-                shard = _Shard()
-    if shard.rows:
-        yield shard.batch()
-
+            text = bytes(raw[at[i] : at[i + 1]])
+            if rows and (size + len(text) > SHARD_BYTES or len(rows) >= SHARD_ROWS):
+                yield _shard(number, rows)
+                number, rows, size = number + 1, [], 0
+            rows.append((doc_id, lang, text))
+            size += len(text)
+    if rows:
+        yield _shard(number, rows)
+
+
+def number_words(shards: DataFrame, spell: bool = False) -> DataFrame:
+    """The global dictionary: a number for every distinct word, handed back by shard.
+
+    Words meet sorted in the tasks that number them, one row for each shard that holds
+    them. A result row tells a shard that its words ``at`` have the numbers ``base`` +
+    ``low``. With ``spell`` there are rows without a shard as well, that list ``words``
+    beside their numbers.
+    """
+    return (
+        shards.select("shard", F.posexplode("words").alias("at", "word"))
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(_numberer(spell), NUMBERS_SCHEMA)
+    )
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """Every distinct ``word`` with its number ``term``."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    return words.select("word", F.monotonically_increasing_id().alias("term"))
 
+def _numberer(spell: bool):
+    none = pa.array([], pa.binary())
+
+    def row(shard, base, at, low, words):
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard], pa.int64()),
+                pa.array([base], pa.int64()),
+                *(
+                    pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+                    for v in (pa.array(at, pa.int32()), pa.array(low, pa.int32()), words)
+                ),
+            ],
+            names=["shard", "base", "at", "low", "words"],
+        )
 
-def csr_shards(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The document-term matrix: local shards with the numbers of one dictionary."""
-    looked_up = (
-        shards.select("shard", F.posexplode("words").alias("at", "word"))
-        .join(words, "word")
-        .groupBy("shard")
-        # Bounded by the words of one shard.
-        .agg(F.array_sort(F.collect_list(F.struct("at", "term"))).alias("found"))
-        .select(F.col("shard").alias("_shard"), F.col("found.term").alias("numbers"))
-    )
-    # A shard of empty texts has no words to look up.
-    joined = shards.join(looked_up, F.col("shard") == F.col("_shard"), "left")
-    return joined.drop("words", "_shard").mapInArrow(_renumber, CSR_SCHEMA)
+    def numbered(held: list[pa.RecordBatch], base: int, last, count: int):
+        table = pa.Table.from_batches(held).combine_chunks()
+        words = table["word"].combine_chunks()
+        new = np.ones(len(words), bool)
+        new[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+        new[0] = words[0].as_py() != last
+        low = count + np.cumsum(new) - 1
+        shard = table["shard"].to_numpy()
+        at = table["at"].to_numpy()
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.diff(shard[order])) + 1
+        out = [row(int(shard[part[0]]), base, at[part], low[part], none) for part in np.split(order, cuts)]
+        if spell:
+            out.append(row(None, base, [], low[new], words.filter(pa.array(new))))
+        return out, words[-1].as_py(), int(low[-1]) + 1
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 40
+        base, last, count, held, rows = task, None, 0, [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= NUMBERED_ROWS:
+                out, last, count = numbered(held, base, last, count)
+                yield from out
+                held, rows = [], 0
+                if count > 1 << 30:
+                    # The last word may go on, so its number stays the first of the next block.
+                    base, count = base + count - 1, 1
+        if rows:
+            yield from numbered(held, base, last, count)[0]
+
+    return number
+
+
+def csr_shards(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The document-term matrix: local shards with the numbers of one dictionary.
+
+    What meets in a task is one shard and the numbers of its words.
+    """
+    own = shards.drop("words").groupBy("shard")
+    found = numbers.where("shard IS NOT NULL").drop("words").groupBy("shard")
+    return own.cogroup(found).applyInArrow(_renumber, CSR_SCHEMA)
 
 
-def _values(batch: pa.RecordBatch, name: str, row: int) -> pa.Array:
-    return batch.column(name).slice(row, 1).flatten()
+def _values(batch, name: str, row: int) -> pa.Array:
+    return batch.column(name).slice(row, 1).combine_chunks().flatten()
 
 
-def _renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _renumber(shard: pa.Table, numbers: pa.Table) -> pa.Table:
+    # A shard of empty texts has no words to look up.
+    term = np.zeros(0, np.int64)
+    if numbers.num_rows:
+        lengths = pc.list_value_length(numbers["at"]).to_numpy()
+        term = np.empty(int(lengths.sum()), np.int64)
+        low = numbers["low"].combine_chunks().flatten().to_numpy()
+        at = numbers["at"].combine_chunks().flatten().to_numpy()
+        term[at] = np.repeat(numbers["base"].to_numpy(), lengths) + low
     kept = ["doc_ids", "langs", "digests", "capitals", "symbols", "indptr"]
-    for batch in batches:
-        for row in range(batch.num_rows):
-            numbers = _values(batch, "numbers", row).to_numpy(zero_copy_only=False).astype(np.int64)
-            places = _values(batch, "places", row).to_numpy()
-            yield _one_row(
-                batch.column("shard").slice(row, 1),
-                **{name: _values(batch, name, row) for name in kept},
-                terms=pa.array(numbers[places], pa.int64()),
-                counts=_values(batch, "counts", row),
-            )
+    places = _values(shard, "places", 0).to_numpy()
+    out = _lists(
+        shard["shard"].combine_chunks(),
+        **{name: _values(shard, name, 0) for name in kept},
+        terms=pa.array(term[places], pa.int64()),
+        counts=_values(shard, "counts", 0),
+    )
+    return pa.Table.from_batches([out])
 
 
 def row_flags(csr: DataFrame) -> DataFrame:
@@ -199,7 +250,7 @@ def row_flags(csr: DataFrame) -> DataFrame:
 
 
 def _row_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in map(lambda b: pa.Table.from_batches([b]), batches):
         for row in range(batch.num_rows):
             indptr = _values(batch, "indptr", row).to_numpy()
             counts = _values(batch, "counts", row).to_numpy()
@@ -312,8 +363,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``unique_fails``, ``good_lost``, ``toxic_lost``, ``shapley``.
     """
     shards = keep(local_shards(docs), "shards")
-    words = keep(dictionary(shards), "dictionary")
-    flags = keep(row_flags(csr_shards(shards, words)), "flags")
+    flags = keep(row_flags(csr_shards(shards, number_words(shards))), "flags")
     return all_orders(keep(failure_patterns(flags, labels), "patterns"))
 
 
