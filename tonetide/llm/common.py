@@ -52,14 +52,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def keep(df: DataFrame, name: str = "table", **options: str) -> DataFrame:
+    """``df`` written to the shared folder, with options of the writer, and read back.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the tables
     written so far, and readers of the result don't compute it again.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -44,7 +44,7 @@ LEAST_DISTINCT_PERCENT = 50
 MOST_CAPITAL_PERCENT = 3
 SYMBOLS = b"#$%&*|"
 # Texts of one shard, in bytes and rows; a longer text is a shard of its own.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
 SHARD_ROWS = 16_384
 
 _ROWS = (
@@ -59,7 +59,7 @@ FLAGS_SCHEMA = (
     "A boolean, B boolean, C boolean, D boolean"
 )
 # Words a task numbers before it hands them back by shard.
-NUMBERED_ROWS = 500_000
+NUMBERED_ROWS = 300_000
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
@@ -97,7 +97,11 @@ def _shard(number: int, rows: list[tuple]) -> pa.RecordBatch:
     coded = tokens.dictionary_encode()
     width = max(1, len(coded.dictionary))
     owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(begin, start)))
-    cells, counts = np.unique(owner * width + coded.indices.to_numpy(), return_counts=True)
+    cells = owner * width + coded.indices.to_numpy()
+    cells.sort()
+    new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])[: len(cells)])
+    counts = np.diff(np.concatenate([new, [len(cells)]]))
+    cells = cells[new]
     indptr = np.searchsorted(cells, np.arange(len(texts) + 1) * width)
 
     def sums(which: np.ndarray) -> np.ndarray:
@@ -362,7 +366,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Columns: ``part``, ``filter_order``, ``step``, ``kept``, ``removed``, ``redundant``,
     ``unique_fails``, ``good_lost``, ``toxic_lost``, ``shapley``.
     """
-    shards = keep(local_shards(docs), "shards")
+    shards = keep(local_shards(docs), "shards", compression="zstd")
     flags = keep(row_flags(csr_shards(shards, number_words(shards))), "flags")
     return all_orders(keep(failure_patterns(flags, labels), "patterns"))
 
