@@ -203,7 +203,7 @@ def tone_quantiles(spark, sf_dir):
 
 
 def tone_quantiles_split(spark, sf_dir):
-    stats = op.tone_stats(v.ev(spark, sf_dir), hot_floor=20)
+    stats = op.tone_stats(v.ev(spark, sf_dir), leaf=20)
     return _flat(stats, THEME_DAY_KEYS)
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+import stage_metrics
 from tonetide import driver_views as v
 from tonetide import plans
-from tonetide.operators import tone_stats
+from tonetide.operators import collect_tones, theme_tones
 from tonetide.sources import parse_mentions
 
 QUERIES = {k: q for k, q in contract.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
@@ -35,35 +37,53 @@ def test_stays_in_the_jvm_and_crosses_nothing(spark, sf_dir, name):
         assert node not in plan
 
 
+def tones_of(spark, sf_dir, **options):
+    """What the tone jobs read, before their statistics."""
+    rows = theme_tones(v.ment(spark, sf_dir), v.docs(spark, sf_dir), v.TAXONOMY, v.THEMES, **options)
+    return collect_tones(rows, ["theme", "time"], weight="weight")
+
+
+@pytest.fixture(scope="module")
+def metrics(sf_dir, tmp_path_factory):
+    """Rows read and shuffled by each query, from Spark's event log."""
+    names = ["theme_day_tone", "theme_day_source_tone", "tone_tables_from_lines", "tone_evolution",
+             "theme_second_tone_raw", "tone_multi_grain", "tone_quantiles_split", "tone_distribution",
+             "top_themes", "top_sources"]
+    return stage_metrics.run(names, sf_dir, tmp_path_factory.mktemp("events"))
+
+
 @pytest.mark.parametrize(
-    ("name", "scans"),
+    ("name", "tables"),
     [
-        # One scan of each input, however often its shuffle is read.
-        ("theme_day_tone", 2),
-        ("theme_day_source_tone", 2),
-        ("tone_tables_from_lines", 2),
-        ("theme_second_tone_raw", 2),
-        ("tone_multi_grain", 1),
-        ("top_themes", 1),
-        ("top_sources", 1),
+        ("theme_day_tone", ["lineitem", "part"]),
+        ("theme_day_source_tone", ["lineitem", "part"]),
+        ("tone_evolution", ["lineitem", "part"]),
+        ("tone_distribution", ["lineitem", "part"]),
+        ("tone_tables_from_lines", ["lineitem", "part"]),
+        ("theme_second_tone_raw", ["lineitem", "part"]),
+        ("tone_multi_grain", ["events"]),
+        # Every group is large here.
+        ("tone_quantiles_split", ["events"]),
+        ("top_themes", ["part"]),
+        ("top_sources", ["part"]),
     ],
 )
-def test_inputs_are_scanned_once(spark, sf_dir, name, scans):
-    df = QUERIES[name](spark, sf_dir)
-    plan = executed(df)
-    assert plan.count("FileScan parquet") == scans
-    assert "isFinalPlan=true" in plan
+def test_inputs_are_read_once(metrics, sf_dir, name, tables):
+    for table in tables:
+        rows = pq.read_metadata(f"{sf_dir}/{table}.parquet").num_rows
+        assert 0 < metrics[name].read[table] <= rows
+    assert set(tables) == set(metrics[name].read) - {"intermediate"}
 
 
-def test_hot_groups_share_the_shuffle_of_the_tones(spark, sf_dir):
-    # Every group is hot here, so no branch of the plan is skipped.
-    plan = executed(tone_stats(v.ev(spark, sf_dir), hot_floor=20))
-    assert plan.count("FileScan parquet") == 1
-    assert plan.count("ReusedExchange") >= 3
+def test_coarse_grain_adds_no_rows_to_the_shuffle_of_the_input(metrics, spark, sf_dir):
+    rows = v.ev(spark, sf_dir)
+    fine = rows.groupBy("theme", "time", "src_common_name", "mention_doc_tone").count().count()
+    shuffled = metrics["tone_multi_grain"].shuffled["events"]
+    assert fine <= shuffled <= rows.count()
 
 
 def test_only_needed_columns_are_read(spark, sf_dir):
-    plan = planned(QUERIES["theme_day_tone"](spark, sf_dir))
+    plan = planned(tones_of(spark, sf_dir))
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
     columns = {part.split(":")[0] for schema in schemas for part in schema.split(",")}
     assert columns == {
@@ -79,7 +99,7 @@ def test_only_needed_columns_are_read(spark, sf_dir):
 
 
 def test_source_filter_reaches_the_scan(spark, sf_dir):
-    plan = planned(QUERIES["theme_day_source_tone"](spark, sf_dir))
+    plan = planned(tones_of(spark, sf_dir, sources=v.SOURCES))
     assert re.search(r"PushedFilters: \[[^\]]*In\(p_brand, \[Brand#1,Brand#2\]\)", plan)
 
 
@@ -90,9 +110,7 @@ def test_lines_are_split_once(spark, tmp_path):
 
 
 def test_themes_are_narrowed_before_the_join(spark, sf_dir):
-    plan = planned(
-        plans.theme_day_tone(v.ment(spark, sf_dir), v.docs(spark, sf_dir), v.TAXONOMY, v.THEMES)
-    )
+    plan = planned(tones_of(spark, sf_dir))
     below_join = plan[plan.index("Join") :]
     assert "filter(transform(" in below_join
     assert plan.index("Join") < plan.index("array_join(")
@@ -113,5 +131,5 @@ def test_newest_row_is_picked_before_the_shuffle(spark, sf_dir):
 def test_aggregates_combine_before_the_shuffle(spark, sf_dir):
     plan = planned(v.ev(spark, sf_dir).groupBy("theme").agg(F.count("*")))
     assert "partial_count" in plan
-    plan = planned(QUERIES["theme_day_tone"](spark, sf_dir))
+    plan = planned(tones_of(spark, sf_dir))
     assert "partial_count" in plan and "partial_sum" in plan and "collect_list(mention" not in plan

@@ -1,15 +1,17 @@
-"""Statistics per group against NumPy, whole and in pieces."""
+"""Statistics per group against NumPy, in one state and by selection."""
 
 from __future__ import annotations
 
 import math
 import random
+import struct
 from collections import defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tonetide.functions import ordered_bits
 from tonetide.operators import collect_tones, stats, tone_stats, tone_stats_multi
 
 PROBS = [0, 0.25, 0.5, 0.75, 1]
@@ -72,38 +74,72 @@ def frame(spark, tones):
     )
 
 
-# From everything whole to every group cut as finely as it can be.
-@pytest.mark.parametrize("hot_floor", [1_000_000, 100, 3, 1])
-def test_exact_however_groups_are_cut(frame, tones, hot_floor):
-    got = measured(tone_stats(frame, ["k"], weight="w", hot_floor=hot_floor), ["k"])
+# From every group in one state to every group selected bit by bit.
+@pytest.mark.parametrize("leaf", [1_000_000, 100, 3, 0])
+def test_exact_whatever_the_leaf(frame, tones, leaf):
+    got = measured(tone_stats(frame, ["k"], weight="w", leaf=leaf), ["k"])
     assert got == expected(tones)
 
 
-def test_exact_when_more_groups_are_hot_than_are_cut(frame, tones, monkeypatch):
-    monkeypatch.setattr(stats, "HOT_GROUPS", 2)
-    monkeypatch.setattr(stats, "MAX_PIECES", 5)
-    got = measured(tone_stats(frame, ["k"], weight="w", hot_floor=3), ["k"])
+def test_exact_without_broadcasts(frame, tones, monkeypatch):
+    monkeypatch.setattr(stats, "BROADCAST_ROWS", 0)
+    got = measured(tone_stats(frame, ["k"], weight="w", leaf=2), ["k"])
     assert got == expected(tones)
 
 
-def test_hot_group_is_cut_into_even_pieces(frame, tones):
-    values = collect_tones(frame, ["k"], weight="w").withColumnsRenamed(
-        {"mention_doc_tone": "_tone", "num_mentions": "_n"}
-    )
-    hot = stats._hot_groups(values, ["k"], 100)
-    (row,) = hot.collect()
-    distinct = len({tone for key, tone, _ in tones if key == "hot"})
-    assert row.k == "hot" and row._total == 3000
-    assert len(row._pieces) == pytest.approx(distinct / 100, abs=2)
-    ranked = stats._ranked(values, hot, ["k"])
-    assert ranked.where("k = 'hot'").agg(F.max("_upto")).first()[0] == 3000
+def test_ordered_bits_are_those_of_the_double(spark):
+    rng = random.Random(4)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308,
+              1.7976931348623157e308, -1.7976931348623157e308, math.inf, -math.inf, 1.0, 2.0, 10.0]
+    values += [math.ldexp(1, e) for e in range(-1074, 1024, 7)]
+    for e in range(-1074, 1024, 5):
+        values += [math.nextafter(math.ldexp(1, e), math.inf), math.nextafter(math.ldexp(1, e), 0)]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(2000)]
+    values += [rng.uniform(-12, 12) for _ in range(500)]
+    values = [x for x in values if not math.isnan(x)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    for x, bits in df.select("x", ordered_bits(F.col("x"))).collect():
+        raw = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        assert bits == (-raw if x < 0 else raw), x
+    none = spark.createDataFrame([(math.nan,), (None,)], "x double")
+    assert [r[0] for r in none.select(ordered_bits(F.col("x"))).collect()] == [None, None]
+
+
+def test_neighbouring_doubles_take_every_round(spark):
+    """Tones that differ in the last bits alone, and far ones that differ in the first."""
+    x = 3.7
+    rows = []
+    for i in range(200):
+        rows += [("near", x, 1 + i % 3), ("far", math.ldexp(-1 if i % 2 else 1, i - 100), 1)]
+        x = math.nextafter(x, math.inf)
+    df = spark.createDataFrame(rows, "k string, mention_doc_tone double, w bigint")
+    wanted = expected([r for r in rows if r[0] == "near"])
+    got = measured(tone_stats(df, ["k"], weight="w", leaf=5), ["k"])
+    assert got[("near",)] == wanted[("near",)]
+    far = sorted(r[1] for r in rows if r[0] == "far")
+    assert got[("far",)][2] == pytest.approx(np.quantile(far, PROBS).astype("float32").tolist())
+
+
+def test_null_tones_are_counted_and_have_no_rank(spark):
+    rows = [("a", None), ("a", 1.0), ("a", 3.0), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, mention_doc_tone double")
+    for leaf in (100, 0):
+        got = {r.k: r for r in tone_stats(df, ["k"], leaf=leaf, probs=[0, 0.5, 1]).collect()}
+        assert got["a"].num_mentions == 3 and got["a"].quantiles == [1.0, 2.0, 3.0]
+        assert got["b"].num_mentions == 1 and got["b"].quantiles is None
+
+
+def test_upper_end_can_be_counted(spark):
+    df = spark.createDataFrame([("a", 10.0), ("a", 1.0)], "k string, mention_doc_tone double")
+    assert sum(tone_stats(df, ["k"]).first().bin_vals) == 1
+    assert sum(tone_stats(df, ["k"], close_last=True).first().bin_vals) == 2
 
 
-@pytest.mark.parametrize("hot_floor", [1_000_000, 1])
-def test_nan_and_infinity(spark, hot_floor):
+@pytest.mark.parametrize("leaf", [1_000_000, 0])
+def test_nan_and_infinity(spark, leaf):
     rows = [("nan", math.nan), ("nan", 1.0), ("nan", 11.0), ("inf", math.inf), ("inf", 1.0)]
     df = spark.createDataFrame(rows, "k string, mention_doc_tone double")
-    got = measured(tone_stats(df, ["k"], hot_floor=hot_floor), ["k"])
+    got = measured(tone_stats(df, ["k"], leaf=leaf), ["k"])
     count, avg, quantiles, cells = got[("nan",)]
     assert count == 3 and math.isnan(avg) and all(math.isnan(q) for q in quantiles)
     assert sum(cells) == 2
@@ -126,9 +162,9 @@ def test_collect_tones_is_the_multiset(frame, tones):
     assert got == want
 
 
-@pytest.mark.parametrize("hot_floor", [1_000_000, 2])
+@pytest.mark.parametrize("leaf", [1_000_000, 2])
 @pytest.mark.parametrize("form", ["none", "list", "frame"])
-def test_two_grains(spark, hot_floor, form):
+def test_two_grains(spark, leaf, form):
     rng = random.Random(5)
     rows = [
         (rng.choice("ab"), rng.choice(["s1", "s2", ""]), float(rng.randint(-12, 12)))
@@ -144,7 +180,7 @@ def test_two_grains(spark, hot_floor, form):
         "frame": spark.createDataFrame([("s1",), ("",), ("s1",)], "name string"),
     }[form]
     got = measured(
-        tone_stats_multi(df, sources, hot_floor=hot_floor), ["grain", "theme", "src_common_name"]
+        tone_stats_multi(df, sources, leaf=leaf), ["grain", "theme", "src_common_name"]
     )
     want = expected([("theme_day", t, None, tone, 1) for t, s, tone in rows])
     want |= expected(

@@ -95,7 +95,7 @@ def test_jdbc_rows_take_any_width_and_cut_nothing(spark):
     flat = jdbc_rows(rows, flatten=True, quantiles=7, cells=2).first()
     assert [flat[f"q{i}"] for i in range(7)] == [1, 2, 3, 4, 5, 6, 7] and flat.b1 == 2
     with pytest.raises(Exception, match="has not 5 elements"):
-        jdbc_rows(rows, flatten=True).collect()
+        jdbc_rows(rows, flatten=True, cells=2).collect()
 
 
 def test_jdbc_rows(stats):

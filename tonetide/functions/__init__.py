@@ -13,7 +13,7 @@ from tonetide.functions.themes import (
     tokens,
 )
 from tonetide.functions.times import GRAINS, day_ts, second_ts
-from tonetide.functions.tones import histogram_bins, tone_histogram, tone_quantiles
+from tonetide.functions.tones import histogram_bins, ordered_bits, tone_histogram, tone_quantiles
 
 __all__ = [
     "GRAINS",
@@ -27,6 +27,7 @@ __all__ = [
     "histogram_bins",
     "is_number",
     "once",
+    "ordered_bits",
     "second_ts",
     "strip_comma",
     "strip_commas",

@@ -73,3 +73,30 @@ def tone_histogram(
     one = F.lit(1) if weight is None else weight
     counts = [F.sum(F.when(cell, one).otherwise(0)) for cell in cells]
     return F.array(*counts)
+
+
+def ordered_bits(col: Column) -> Column:
+    """The bits of a double as a ``bigint`` that sorts like the doubles do.
+
+    Both zeros are 0, negative numbers are negative, infinities lie outermost; NaN and
+    NULL give NULL. Exponent and mantissa come from arithmetic that is exact: powers of
+    two, quotients by them, and a logarithm that is put right where it is off by one.
+    """
+    size = F.abs(col)
+    guess = F.greatest(F.floor(F.log2(size)).cast("int"), F.lit(-1022))
+    part = size / F.pow(F.lit(2.0), guess)
+    exponent = F.greatest(
+        guess + F.when(part >= 2, 1).when((part < 1) & (guess > -1022), -1).otherwise(0), F.lit(-1022)
+    )
+    mantissa = size / F.pow(F.lit(2.0), exponent)
+    normal = mantissa >= 1
+    whole = F.lit(1 << 52)
+    bits = F.when(normal, (exponent + 1023).cast("long") * whole).otherwise(F.lit(0).cast("long")) + (
+        F.when(normal, mantissa - 1).otherwise(mantissa) * F.lit(float(1 << 52))
+    ).cast("long")
+    bits = (
+        F.when(size == 0, F.lit(0).cast("long"))
+        .when(size == float("inf"), F.lit(2047 << 52))
+        .otherwise(bits)
+    )
+    return F.when(F.isnan(col), F.lit(None)).otherwise(F.when(col < 0, -bits).otherwise(bits))

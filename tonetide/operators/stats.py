@@ -1,51 +1,34 @@
 """Count, average, exact quantiles and histogram of tones per group.
 
 Everything starts from the distinct tones of each group with their weights. That
-table is built with map-side combining and shuffled on group *and* tone, so a
-group holding a third of all rows is spread over the cluster and equal tones have
+table is built with map-side combining, shuffled on group *and* tone, and written to
+the shared folder, so the input is read once whatever reads the tones afterwards, a
+group holding a third of all rows is spread over the cluster, and equal tones have
 already become one row.
 
-Count, average and histogram combine freely from there. An exact quantile needs
-the running weight in tone order, i.e. a window per group. A group that holds more
-than its share of all distinct tones is cut, at tones that come from a sketch of
-that group, into pieces of about equal size. Each piece gets its own window, and a
-group is put together again from the weights of its pieces. Sketch errors only
-shift where the cuts lie; the result stays exact.
+Count, average and histogram combine freely from there. So do the quantiles of a group
+of at most ``leaf`` distinct tones: its tones meet in one aggregation state. Those of
+all larger groups are found by radix selection (:func:`select_ranks`), of however many
+groups and whatever their size. The results do not depend on ``leaf``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonetide.functions import histogram_bins
-from tonetide.operators.vocabulary import Vocabulary
-from tonetide.schemas import HISTOGRAM_BINS, QUANTILE_PROBS, THEME_DAY_KEYS
+from tonetide.functions import histogram_bins, ordered_bits, tone_quantiles
+from tonetide.operators.vocabulary import BROADCAST_ROWS, Vocabulary
+from tonetide.schemas import QUANTILE_PROBS, STATS_COLUMNS, THEME_DAY_KEYS
+from tonetide.session import written
 
-# Groups with at most this many distinct tones stay whole.
-HOT_FLOOR = 1_000_000
-# Of the others the largest HOT_GROUPS are cut. Any group beyond them holds at most
-# one in HOT_GROUPS of all distinct tones, less than a task's share on a large
-# cluster, and stays whole too.
-HOT_GROUPS = 4_000
-# Most pieces of one group. With HOT_GROUPS it bounds what is broadcast.
-MAX_PIECES = 1_000
+# Distinct tones that may meet in one state; a state takes about 50 bytes for each.
+LEAF = 20_000
 
-_SKETCH_ACCURACY = 10 * MAX_PIECES
-# Cuts are searched in two steps, among every _STRIDE-th and then between two of them.
-_STRIDE = 32
-
-
-def _coarse(cuts: str) -> str:
-    return f"filter({cuts}, (c, i) -> (i + 1) % {_STRIDE} = 0)"
-
-
-def _place(cuts: str) -> str:
-    """SQL for how many of the sorted ``cuts`` lie below ``_tone``, given their ``_coarse`` ones."""
-    skip = f"{_STRIDE} * size(filter(_coarse, c -> c < _tone))"
-    return f"{skip} + size(filter(slice({cuts}, {skip} + 1, {_STRIDE}), c -> c < _tone))"
+# A key of 64 bits is taken apart in four rounds.
+_DIGIT_BITS = 16
 
 
 def collect_tones(
@@ -69,155 +52,188 @@ def tone_stats(
     tone: str = "mention_doc_tone",
     weight: str | None = None,
     probs: Sequence[float] = QUANTILE_PROBS,
-    hot_floor: int = HOT_FLOOR,
+    leaf: int = LEAF,
+    close_last: bool = False,
 ) -> DataFrame:
     """``num_mentions``, ``avg``, ``quantiles`` and ``bin_vals`` per group.
 
-    ``weight`` names a column saying how many mentions a row stands for.
+    ``weight`` names a column saying how many mentions a row stands for;
+    ``close_last`` counts the upper end of the histogram into its last cell. The input
+    is read when this is called, the result when it is used.
     """
     keys = list(keys)
-    values = collect_tones(df, keys, tone, weight).withColumnsRenamed(
+    values = written(_values(df, keys, tone, weight), "tones")
+    counts = values.groupBy(*keys).agg(F.count("*").alias("_distinct"))
+    return _stats(values, counts, keys, probs, leaf, close_last)
+
+
+def _values(df: DataFrame, keys: list[str], tone: str, weight: str | None) -> DataFrame:
+    return collect_tones(df, keys, tone, weight).withColumnsRenamed(
         {tone: "_tone", "num_mentions": "_n"}
     )
-    ranked = _ranked(values, _hot_groups(values, keys, hot_floor), keys)
-    return ranked.groupBy(*keys).agg(*_aggregates(probs)).select(*keys, *_results(probs))
-
 
-def _hot_groups(values: DataFrame, keys: list[str], hot_floor: int) -> DataFrame:
-    """The groups to cut, one row each.
 
-    ``_pieces`` lists their pieces in tone order: the largest tone of the piece
-    (``cut``, NULL for the last) and the weight of the pieces before it
-    (``below``). ``_total`` is the weight of the group.
+def _stats(
+    values: DataFrame,
+    counts: DataFrame,
+    keys: list[str],
+    probs: Sequence[float],
+    leaf: int,
+    close_last: bool = False,
+) -> DataFrame:
+    """The statistics of distinct tones ``_tone`` with weights ``_n``.
 
-    Every reader of ``values`` looks at its weight column, if only in a condition
-    that always holds, so that all of them share one shuffle.
+    ``counts`` says how many distinct tones a group may have (``_distinct``).
     """
-    hot = (
-        values.groupBy(*keys)
-        .agg(F.count("*").alias("_distinct"), F.sum("_n").alias("_total"))
-        .where(F.expr(f"_distinct > {hot_floor} AND _total >= _distinct"))
-        .orderBy(F.desc("_distinct"))
-        .limit(HOT_GROUPS)
-    )
-    # One string constant instead of a thousand literals keeps the plan small.
-    probs = F.split(F.lit(" ".join(str(i / MAX_PIECES) for i in range(1, MAX_PIECES))), " ")
-    marks = F.percentile_approx(
-        F.expr("CASE WHEN _n > 0 AND NOT isnan(_tone) THEN _tone END"),
-        probs.cast("array<double>"),
-        _SKETCH_ACCURACY,
+    totals = _totals(close_last)
+    columns = [*keys, *STATS_COLUMNS]
+    quantiles = tone_quantiles(F.col("_tone"), probs, weight=F.col("_n")).alias("quantiles")
+    large = written(counts.where(F.col("_distinct") > leaf), "large_groups")
+    number = large.count()
+
+    def in_one_state(rows: DataFrame) -> DataFrame:
+        # Bounded groups of distinct tones: nothing is left to combine before the shuffle.
+        return rows.repartition(*keys).groupBy(*keys).agg(*totals, quantiles).select(*columns)
+
+    if not number:
+        return in_one_state(values)
+    small = _matching(values, large, keys, number, "left_anti")
+    big = written(
+        _matching(values, large, keys, number, "left_semi").withColumn(
+            "_key", ordered_bits(F.col("_tone"))
+        ),
+        "large_tones",
     )
-    # Marks lie 1/MAX_PIECES apart; keep as many as the size of the group calls for.
-    step = f"{MAX_PIECES} div least(_distinct div {hot_floor} + 1, {MAX_PIECES})"
-    cut = (
-        _with_group(values, hot, keys, "inner")
-        .groupBy(*keys)
-        .agg(marks.alias("_marks"), F.max("_distinct").alias("_distinct"))
-        .select(
-            *keys,
-            F.expr(f"array_distinct(filter(_marks, (m, i) -> (i + 1) % ({step}) = 0)) AS _cuts"),
-        )
-        .withColumn("_coarse", F.expr(_coarse("_cuts")))
+    ranked = F.sum(F.when(F.col("_key").isNotNull(), F.col("_n")))
+    sums = written(
+        big.groupBy(*keys).agg(
+            *totals, F.max(F.isnan("_tone")).alias("_nan"), (ranked - 1).alias("_last")
+        ),
+        "totals",
     )
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        _with_group(values, cut, keys, "inner")
-        .withColumn("_piece", F.expr(_place("_cuts")))
-        .groupBy(*keys, "_piece", F.get("_cuts", F.col("_piece")).alias("cut"))
-        .agg(F.sum("_n").alias("_weight"))
-        # From here on a group has at most MAX_PIECES rows.
-        .withColumn("below", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
-        .groupBy(*keys)
-        .agg(
-            F.array_sort(F.collect_list(F.struct("_piece", "cut", "below"))).alias("_pieces"),
-            F.sum("_weight").alias("_total"),
-        )
-        .withColumn("_ends", F.expr("transform(_pieces, p -> p.cut)"))
-        .withColumn("_coarse", F.expr(_coarse("_ends")))
-    )
-
-
-def _with_group(values: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Add the columns of a table of at most HOT_GROUPS groups to its tones.
-
-    Null-safe, as a group may be keyed by NULL; besides, plain equality would have
-    NULL keys filtered out of ``values`` in some of its readers and not in others.
-    """
-    right = groups.withColumnsRenamed({key: f"_group_{key}" for key in keys})
-    same = [F.col(key).eqNullSafe(F.col(f"_group_{key}")) for key in keys]
-    return values.join(F.broadcast(right), same, how).drop(*[f"_group_{key}" for key in keys])
-
+    picked = select_ranks(big, _wanted(sums, keys, probs), keys)
+    of_large = _interpolated(sums, picked, keys, probs, number)
+    return in_one_state(small).unionByName(of_large.select(*columns))
 
-def _ranked(values: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct tones with the running (``_upto``) and total (``_all``) weight of their group.
 
-    A group that is not hot is one piece with nothing below it.
-    """
-    placed = (
-        _with_group(values, hot, keys, "left")
-        .withColumn("_piece", F.expr(_place("_ends")))
-        .select(
-            *keys,
-            "_tone",
-            "_n",
-            F.expr("coalesce(_piece, 0) AS _piece"),
-            F.expr("coalesce(get(_pieces, _piece).below, 0) AS _below"),
-            "_total",
-        )
-    )
-    part = Window.partitionBy(*keys, "_piece")
-    running = part.orderBy("_tone").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.select(
-        *keys,
-        "_tone",
-        "_n",
-        (F.col("_below") + F.sum("_n").over(running)).alias("_upto"),
-        F.coalesce("_total", F.sum("_n").over(part)).alias("_all"),
-    )
+def _matching(rows: DataFrame, groups: DataFrame, on: list[str], number: int, how: str) -> DataFrame:
+    """Join to a table of ``number`` rows, null-safe, as a group may be keyed by NULL."""
+    right = groups.withColumnsRenamed({c: f"_group_{c}" for c in on})
+    if number <= BROADCAST_ROWS:
+        right = F.broadcast(right)
+    same = [F.col(c).eqNullSafe(F.col(f"_group_{c}")) for c in on]
+    return rows.join(right, same, how).drop(*[f"_group_{c}" for c in on])
 
 
-def _aggregates(probs: Sequence[float]) -> list[Column]:
-    """What one group of ranked tones adds up to."""
+def _totals(close_last: bool) -> list[Column]:
     n = F.col("_n")
-    # A tone covers the positions [_upto - _n, _upto); a quantile lies between two.
-    ends = [
-        F.expr(
-            f"max(CASE WHEN _upto > {side}((_all - 1) * {p}D) "
-            f"AND _upto - _n <= {side}((_all - 1) * {p}D) THEN _tone END) AS _{side}{i}"
-        )
-        for i, p in enumerate(probs)
-        for side in ("floor", "ceil")
-    ]
     cells = [
-        F.sum(F.when(cell, n).otherwise(0)).alias(f"_bin{i}")
-        for i, cell in enumerate(histogram_bins(F.col("_tone")))
+        F.sum(F.when(cell, n).otherwise(0))
+        for cell in histogram_bins(F.col("_tone"), close_last=close_last)
     ]
     return [
         F.sum(n).alias("num_mentions"),
-        F.sum(F.col("_tone") * n).alias("_sum"),
-        F.max(F.isnan("_tone")).alias("_nan"),
-        *ends,
-        *cells,
+        (F.sum(F.col("_tone") * n) / F.sum(n)).alias("avg"),
+        F.array(*cells).alias("bin_vals"),
     ]
 
 
-def _results(probs: Sequence[float]) -> list[Column]:
-    """The columns of a result row, from the sums of :func:`_aggregates`."""
-    quantiles = ", ".join(
-        f"""CASE WHEN _nan THEN double('NaN')
-                 WHEN _floor{i} = _ceil{i} THEN _floor{i}
-                 ELSE (1 - ((num_mentions - 1) * {p}D) % 1) * _floor{i}
-                      + ((num_mentions - 1) * {p}D) % 1 * _ceil{i} END"""
+def _wanted(sums: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """The ranks a quantile lies between, counted from 0, as two slots for each."""
+    places = [
+        F.struct(
+            F.lit(2 * i + j).alias("_slot"),
+            side(F.col("_last") * F.lit(float(p))).cast("long").alias("_rank"),
+        )
         for i, p in enumerate(probs)
+        for j, side in enumerate((F.floor, F.ceil))
+    ]
+    # NaN has no place among the keys; a group that holds it needs no ranks.
+    return sums.where("_last >= 0 AND NOT coalesce(_nan, false)").select(
+        *keys, F.inline(F.array(*places))
     )
-    cells = ", ".join(f"_bin{i}" for i in range(HISTOGRAM_BINS + 2))
-    return [
-        F.col("num_mentions"),
-        F.expr("_sum / num_mentions AS avg"),
-        F.expr(f"cast(array({quantiles}) AS array<float>) AS quantiles"),
-        F.expr(f"array({cells}) AS bin_vals"),
+
+
+# Walks the sorted cells of one range up to the one that holds a rank.
+_FIND_CELLS = """transform(_slots, s -> aggregate(_cells,
+    named_struct('slot', s._slot, 'rank', s._rank, 'digit', 0L, 'lo', 0D, 'hi', 0D, 'hit', false),
+    (a, c) -> CASE
+        WHEN a.hit THEN a
+        WHEN a.rank < c._n THEN named_struct('slot', a.slot, 'rank', a.rank, 'digit', c._digit,
+                                             'lo', c._lo, 'hi', c._hi, 'hit', true)
+        ELSE named_struct('slot', a.slot, 'rank', a.rank - c._n, 'digit', a.digit,
+                          'lo', a.lo, 'hi', a.hi, 'hit', false) END))"""
+
+
+def select_ranks(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The tones at wanted ranks of each group: ``keys``, ``_slot``, ``_found``.
+
+    ``values`` has a weight ``_n`` per ``_tone`` and its ``_key`` of 64 bits, in the same
+    order; ``wanted`` has a ``_rank`` for each ``_slot``. A round weighs the cells of the
+    next 16 bits, with map-side combining, finds the cell that holds each rank, and goes on
+    within those cells alone. A range has at most 2**16 cells whatever the size of its
+    group. A cell with one tone needs no further round, and the fourth has no other.
+    """
+    rows = values.where("_key IS NOT NULL")
+    wanted = written(wanted.withColumn("_prefix", F.lit(0).cast("long")), "ranks")
+    on = [*keys, "_prefix"]
+    found = []
+    for shift in range(64 - _DIGIT_BITS, -1, -_DIGIT_BITS):
+        number = wanted.count()
+        if not number:
+            break
+        slots = wanted.groupBy(*on).agg(F.collect_list(F.struct("_slot", "_rank")).alias("_slots"))
+        if shift + _DIGIT_BITS == 64:
+            level = rows.withColumn("_prefix", F.lit(0).cast("long"))
+        else:
+            level = rows.withColumn("_prefix", F.shiftright("_key", shift + _DIGIT_BITS))
+            level = _matching(level, slots.select(*on), on, number, "left_semi")
+        cells = (
+            level.groupBy(*on, F.shiftright("_key", shift).alias("_digit"))
+            .agg(F.sum("_n").alias("_n"), F.min("_tone").alias("_lo"), F.max("_tone").alias("_hi"))
+            .groupBy(*on)
+            .agg(F.array_sort(F.collect_list(F.struct("_digit", "_n", "_lo", "_hi"))).alias("_cells"))
+        )
+        hits = written(
+            _matching(cells, slots, on, number, "inner").select(*keys, F.inline(F.expr(_FIND_CELLS))),
+            "cells",
+        )
+        single = F.col("lo") == F.col("hi")
+        found.append(hits.where(single).select(*keys, F.col("slot").alias("_slot"), F.col("lo").alias("_found")))
+        wanted = hits.where(~single).select(
+            *keys,
+            F.col("slot").alias("_slot"),
+            F.col("rank").alias("_rank"),
+            F.col("digit").alias("_prefix"),
+        )
+    picked = found[0] if found else wanted.select(*keys, "_slot", F.lit(0.0).alias("_found"))
+    for part in found[1:]:
+        picked = picked.unionByName(part)
+    return picked
+
+
+def _interpolated(
+    sums: DataFrame, picked: DataFrame, keys: list[str], probs: Sequence[float], number: int
+) -> DataFrame:
+    """``sums`` with the array of quantiles."""
+    sides = [
+        F.max(F.when(F.col("_slot") == i, F.col("_found"))).alias(f"_side{i}")
+        for i in range(2 * len(probs))
     ]
+    rows = _matching(sums, picked.groupBy(*keys).agg(*sides), keys, number, "left")
+    values = []
+    for i, p in enumerate(probs):
+        low, high = F.col(f"_side{2 * i}"), F.col(f"_side{2 * i + 1}")
+        place = F.col("_last") * F.lit(float(p))
+        between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
+        values.append(F.when(low == high, low).otherwise(between))
+    nan = F.array(*[F.lit(float("nan"))] * len(probs))
+    return rows.withColumn(
+        "quantiles",
+        F.when(F.col("_nan"), nan)
+        .when(F.col("_last") >= 0, F.array(*values))
+        .cast("array<float>"),
+    )
 
 
 def tone_stats_multi(
@@ -225,19 +241,18 @@ def tone_stats_multi(
     sources: Vocabulary | None = None,
     tone: str = "mention_doc_tone",
     weight: str | None = None,
-    **hot: int,
+    probs: Sequence[float] = QUANTILE_PROBS,
+    leaf: int = LEAF,
+    close_last: bool = False,
 ) -> DataFrame:
     """Both grains of the statistics in one pass over the input.
 
     ``grain`` tells the rows apart: ``theme_day`` covers all sources and has no
     source name, ``theme_day_source`` has one row per source, limited to
-    ``sources`` if given. Each input row is counted at both grains before the
-    shuffle, where equal tones combine at once; sources outside the list never
-    reach it at the finer grain.
+    ``sources`` if given. The input is counted at the fine grain alone, with one state
+    for all sources outside the list; the coarse grain is rolled up from those counts.
     """
     source = F.col("src_common_name")
-    overall = F.struct(F.lit("theme_day").alias("grain"), F.lit("").alias("src"))
-    single = F.struct(F.lit("theme_day_source").alias("grain"), source.alias("src"))
     if isinstance(sources, DataFrame):
         listed = sources.select(
             F.col(sources.columns[0]).alias("src_common_name"), F.lit(True).alias("_listed")
@@ -245,21 +260,29 @@ def tone_stats_multi(
         df = df.join(listed, "src_common_name", "left")
         wanted = F.coalesce(F.col("_listed"), F.lit(False))
     elif sources is not None:
-        wanted = source.isin(*sorted(set(sources)))
+        wanted = F.coalesce(source.isin(*sorted(set(sources))), F.lit(False))
     else:
         wanted = F.lit(True)
-    grains = F.when(wanted, F.array(overall, single)).otherwise(F.array(overall))
     carried = [tone] if weight is None else [tone, weight]
-    rows = df.select("theme", "time", *carried, F.inline(grains))
-    stats = tone_stats(rows, ["grain", "theme", "time", "src"], tone, weight, **hot)
-    name = F.when(F.col("grain") == "theme_day_source", F.col("src"))
-    return stats.select(
-        "grain",
-        "theme",
-        "time",
-        name.alias("src_common_name"),
-        "num_mentions",
-        "avg",
-        "quantiles",
-        "bin_vals",
+    rows = df.select(
+        *THEME_DAY_KEYS, wanted.alias("_wanted"), F.when(wanted, source).alias("src"), *carried
+    )
+    fine_keys = [*THEME_DAY_KEYS, "_wanted", "src"]
+    values = written(_values(rows, fine_keys, tone, weight), "tones")
+    options = (probs, leaf, close_last)
+
+    # Rows of the fine grain are at least the distinct tones of the coarse one.
+    rolled_up = values.groupBy(*THEME_DAY_KEYS, "_tone").agg(F.sum("_n").alias("_n"))
+    counts = values.groupBy(*THEME_DAY_KEYS).agg(F.count("*").alias("_distinct"))
+    coarse = _stats(rolled_up, counts, list(THEME_DAY_KEYS), *options)
+
+    single = values.where("_wanted")
+    by_source = [*THEME_DAY_KEYS, "src"]
+    counts = single.groupBy(*by_source).agg(F.count("*").alias("_distinct"))
+    fine = _stats(single, counts, by_source, *options)
+    return (
+        coarse.withColumn("src", F.lit(None).cast("string"))
+        .withColumn("grain", F.lit("theme_day"))
+        .unionByName(fine.withColumn("grain", F.lit("theme_day_source")))
+        .select("grain", *THEME_DAY_KEYS, F.col("src").alias("src_common_name"), *STATS_COLUMNS)
     )

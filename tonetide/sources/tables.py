@@ -106,8 +106,16 @@ def jdbc_settings(path: str, section: str = "postgresql") -> dict[str, str]:
     return {names.get(name, name): given[name] for name in wanted if name in given}
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, flatten: bool = False, **options: str) -> None:
-    """Append result rows to a database table.
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    flatten: bool = False,
+    quantiles: int = len(QUANTILE_PROBS),
+    cells: int = HISTOGRAM_BINS + 2,
+    **options: str,
+) -> None:
+    """Append result rows to a database table; see :func:`jdbc_rows` for the widths.
 
     Everything the driver needs (user, password, driver class, ``numPartitions``
     to bound the open connections, ``batchsize``) comes from the caller, e.g. from
@@ -115,7 +123,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, flatten: bool = False, **opt
     itself. The table's primary key is what rejects a second run.
     """
     (
-        jdbc_rows(df, flatten)
+        jdbc_rows(df, flatten, quantiles, cells)
         .write.format("jdbc")
         .options(url=url, dbtable=table, **options)
         .mode("append")
