@@ -6,6 +6,7 @@ that both engines' results can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,9 @@ from tonetide.schemas import (
     THEME_DAY_KEYS,
     THEME_DAY_SOURCE_KEYS,
 )
-from tonetide.session import configure
+from tonetide.operators.sketches import RANK_ERROR
+from tonetide.session import configure, shared_folder, written
+from tonetide.sources.ledger import add_batch, read_ledger
 
 # The subpackage for training data may be absent; everything else works without it.
 try:
@@ -41,6 +44,7 @@ STATS = ("num_mentions", "avg", "quantiles", "bin_vals")
 TOP_THEMES_K = 10
 TOP_SOURCES_K = 5
 TAXONOMY_CUT = 10
+SKETCHED_DAYS = ("2024-01-05", "2024-01-20")
 EVOLUTION = ("BLUE_GEAR", "1996-01-01", "1999-01-01")
 
 
@@ -207,6 +211,33 @@ def tone_quantiles_split(spark, sf_dir):
     return _flat(stats, THEME_DAY_KEYS)
 
 
+def tone_range_sketched(spark, sf_dir):
+    """Quantiles over a range of days from daily states, and whether their ranks are close."""
+    tones = v.ev(spark, sf_dir)
+    daily = written(op.tone_states(tones), "states")
+    merged = op.merge_states(daily.where(F.col("time").between(*SKETCHED_DAYS)), ["theme"])
+    stats = op.state_stats(merged)
+    share = {
+        f"{side}{i}": F.avg(tone_is(F.get("quantiles", F.lit(i))).cast("double"))
+        for i in range(len(QUANTILE_PROBS))
+        for side, tone_is in (
+            ("below", lambda q: F.col("mention_doc_tone").cast("float") < q),
+            ("upto", lambda q: F.col("mention_doc_tone").cast("float") <= q),
+        )
+    }
+    ranks = (
+        tones.where(F.col("time").between(*SKETCHED_DAYS))
+        .join(stats.select("theme", "quantiles"), "theme")
+        .groupBy("theme")
+        .agg(*[column.alias(name) for name, column in share.items()])
+    )
+    close = F.lit(True)
+    for i, p in enumerate(QUANTILE_PROBS):
+        close &= (F.col(f"below{i}") <= p + RANK_ERROR) & (F.col(f"upto{i}") >= p - RANK_ERROR)
+    rows = stats.join(ranks.select("theme", close.alias("ranks_close")), "theme")
+    return _flat(rows, ["theme", "ranks_close"], ["num_mentions", "avg", "bin_vals"])
+
+
 def tone_histogram(spark, sf_dir):
     tones = v.ev(spark, sf_dir).groupBy(*THEME_DAY_KEYS)
     cells = tones.agg(fn.tone_histogram(F.col("mention_doc_tone")).alias("bin_vals"))
@@ -222,6 +253,22 @@ def theme_day_tone(spark, sf_dir):
     return _flat(_theme_day(spark, sf_dir), THEME_DAY_KEYS)
 
 
+def theme_day_tone_increments(spark, sf_dir):
+    """The table of a ledger that took the mentions in by four batches, one of them twice."""
+    ledger = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    mentions = v.ment(spark, sf_dir)
+    # Stand-ins for files: each takes the mentions of every fourth document id.
+    share = F.pmod(F.col("mention_id").cast("long"), F.lit(4)).cast("string")
+
+    def tones(files):
+        batch = mentions.where(share.isin(files))
+        return op.theme_tones(batch, v.docs(spark, sf_dir), v.TAXONOMY, v.THEMES)
+
+    for files in (["0"], ["1"], ["1", "2"], ["3", "0"]):
+        add_batch(spark, ledger, files, tones)
+    return _flat(plans.ledger_stats(read_ledger(spark, ledger)), THEME_DAY_KEYS)
+
+
 def theme_day_source_tone(spark, sf_dir):
     return _flat(_theme_day_source(spark, sf_dir), THEME_DAY_SOURCE_KEYS)
 
@@ -311,9 +358,11 @@ QUERIES = (
     source_filter,
     tone_quantiles,
     tone_quantiles_split,
+    tone_range_sketched,
     tone_histogram,
     collect_tones,
     theme_day_tone,
+    theme_day_tone_increments,
     theme_day_source_tone,
     theme_day_tone_learned,
     tone_multi_grain,
@@ -555,10 +604,15 @@ WHERE src_common_name IN (SELECT src_common_name FROM top_sources)""",
         "tone_quantiles_split": _with(_EV) + f"SELECT theme, {_SHOW}, {_stats_sql()} {ev_groups}",
         "tone_histogram": _with(_EV)
         + f"SELECT theme, {_SHOW}, {_stats_sql(['bin_vals'])} {ev_groups}",
+        "tone_range_sketched": _with(_EV)
+        + f"""SELECT theme, true AS ranks_close, {_stats_sql(("num_mentions", "avg", "bin_vals"))}
+FROM ev WHERE time BETWEEN '{SKETCHED_DAYS[0]}' AND '{SKETCHED_DAYS[1]}' GROUP BY theme""",
         "collect_tones": _with(_EV)
         + f"""SELECT theme, {_SHOW}, tone AS mention_doc_tone, count(*) AS num_mentions
 {ev_groups}, tone""",
         "theme_day_tone": _with(*_DAY_CTES) + f"SELECT theme, {_SHOW}, {_VALUES} FROM theme_day",
+        "theme_day_tone_increments": _with(*_DAY_CTES)
+        + f"SELECT theme, {_SHOW}, {_VALUES} FROM theme_day",
         "theme_day_source_tone": _with(*_DAY_SOURCE_CTES)
         + f"SELECT theme, {_SHOW}, src_common_name, {_VALUES} FROM theme_day_source",
         "theme_day_tone_learned": _with(

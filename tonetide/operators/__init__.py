@@ -2,6 +2,7 @@
 
 from tonetide.operators.joins import document_themes, join_mentions, theme_tones
 from tonetide.operators.serving import latest_tone, tone_distribution, tone_evolution
+from tonetide.operators.sketches import merge_states, sketch_quantiles, state_stats, tone_states
 from tonetide.operators.stats import collect_tones, tone_stats, tone_stats_multi
 from tonetide.operators.vocabulary import (
     clean_codes,
@@ -20,9 +21,13 @@ __all__ = [
     "join_mentions",
     "key_counts",
     "latest_tone",
+    "merge_states",
+    "sketch_quantiles",
+    "state_stats",
     "theme_tones",
     "tone_distribution",
     "tone_evolution",
+    "tone_states",
     "tone_stats",
     "tone_stats_multi",
     "top_k",

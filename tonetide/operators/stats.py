@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonetide.functions import histogram_bins, ordered_bits, tone_quantiles
+from tonetide.operators.sketches import state_stats, tone_states
 from tonetide.operators.vocabulary import BROADCAST_ROWS, Vocabulary
 from tonetide.schemas import QUANTILE_PROBS, STATS_COLUMNS, THEME_DAY_KEYS
 from tonetide.session import written
@@ -54,14 +55,20 @@ def tone_stats(
     probs: Sequence[float] = QUANTILE_PROBS,
     leaf: int = LEAF,
     close_last: bool = False,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """``num_mentions``, ``avg``, ``quantiles`` and ``bin_vals`` per group.
 
     ``weight`` names a column saying how many mentions a row stands for;
     ``close_last`` counts the upper end of the histogram into its last cell. The input
     is read when this is called, the result when it is used.
+
+    With ``accuracy``, the k of :func:`tonetide.operators.sketches.tone_states`, the
+    quantiles are estimates from a sketch, and everything is one aggregation.
     """
     keys = list(keys)
+    if accuracy is not None:
+        return state_stats(tone_states(df, keys, tone, weight, accuracy), probs)
     values = written(_values(df, keys, tone, weight), "tones")
     counts = values.groupBy(*keys).agg(F.count("*").alias("_distinct"))
     return _stats(values, counts, keys, probs, leaf, close_last)

@@ -1,5 +1,6 @@
 """Whole jobs."""
 
+from tonetide.plans.increments import add_mention_files, ledger_stats, refresh_tables
 from tonetide.plans.rebuild import run_all
 from tonetide.plans.tone_jobs import (
     theme_day_source_tone,
@@ -10,6 +11,9 @@ from tonetide.plans.tone_jobs import (
 from tonetide.plans.vocab_jobs import taxonomy_words, top_sources, top_themes
 
 __all__ = [
+    "add_mention_files",
+    "ledger_stats",
+    "refresh_tables",
     "run_all",
     "taxonomy_words",
     "theme_day_source_tone",
