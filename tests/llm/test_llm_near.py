@@ -97,6 +97,38 @@ def test_near_duplicates_on_the_driver_table(spark, sf_dir):
     assert near(spark, rows) == brute_near(rows)
 
 
+def test_pairs_behind_a_common_opening_are_found(spark):
+    """Everybody shares an opening, so all lie in the same buckets; the pairs are just above 0.75."""
+    prepare(spark)
+    rng = random.Random(6)
+    opening = [f"o{i}" for i in range(104)]
+
+    def own(n):
+        return [f"x{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = [(0, " ".join(opening + own(100)), "", "", "")]
+    for i in range(500):
+        body = own(69)
+        for j in range(2):
+            rows.append((2 * i + j + 1, " ".join(opening + body + own(25)), "", "", ""))
+    a, b = shingles(rows[1][1]), shingles(rows[2][1])
+    assert 0.75 <= len(a & b) / len(a | b) < 0.78
+    out = hyperminhash.near_duplicates(spark.createDataFrame(rows, DOC).repartition(8)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: i - (i > 0 and i % 2 == 0) for i in range(1001)}
+
+
+def test_one_id_with_several_texts_has_the_links_of_each(spark):
+    prepare(spark)
+    rng = random.Random(2)
+    texts = [" ".join(f"t{rng.randrange(10**6)}" for _ in range(80)) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, None), (2, texts[0] + " z"), (3, texts[1] + " z"), (4, texts[2]),
+            (5, texts[2]), (5, texts[1] + " y"), (9, texts[2] + " q")]
+    rows = [(i, t, "", "", "") for i, t in rows]
+    out = hyperminhash.near_duplicates(spark.createDataFrame(rows, DOC)).collect()
+    assert {(r.doc_id, r.component_id) for r in out} == {(i, 1) for i in (1, 2, 3, 4, 5, 9)}
+    assert len(out) == len(rows)
+
+
 def test_near_duplicates_edges(spark):
     prepare(spark)
     assert near(spark, []) == {}
