@@ -209,6 +209,86 @@ def test_short_repeats_stay(spark):
     assert spans(spark, rows) == []
 
 
+def _fresh(rng, n):
+    return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def _passages(spark, docs):
+    rows = [(i, " ".join(t), "", "", "") for i, t in docs.items()]
+    out = substring_dedup.repeated_passages(spark.createDataFrame(rows, DOC).repartition(4)).collect()
+    return sorted((r.doc_id, r.source_id, r.start_word, r.end_word) for r in out)
+
+
+def test_second_passage_after_a_long_one(spark):
+    prepare(spark)
+    rng = random.Random(3)
+    long, short = _fresh(rng, 600), _fresh(rng, 120)
+    docs = {1: _fresh(rng, 30) + long + _fresh(rng, 100) + short + _fresh(rng, 20),
+            2: long + _fresh(rng, 100) + short}
+    assert _passages(spark, docs) == [(2, 1, 0, 600), (2, 1, 700, 820)]
+
+
+def test_pieces_held_by_earlier_documents(spark):
+    prepare(spark)
+    rng = random.Random(4)
+    passage = _fresh(rng, 120)
+    docs = {i: _fresh(rng, 40) + passage[22 * i : 22 * i + 34] + _fresh(rng, 40) for i in range(5)}
+    docs |= {10: _fresh(rng, 50) + passage, 11: passage + _fresh(rng, 50)}
+    docs |= {i + 6: t for i, t in enumerate([_fresh(rng, 30) + passage[50:84], _fresh(rng, 90)])}
+    assert _passages(spark, docs) == [(11, 10, 0, 120)]
+
+
+def test_a_passage_in_a_third_of_all_documents(spark, monkeypatch):
+    prepare(spark)
+    rng = random.Random(5)
+    passage = _fresh(rng, 70)
+    docs = {i: _fresh(rng, 30) + (passage if i % 3 == 0 else []) + _fresh(rng, 30) for i in range(90)}
+    wanted = [(i, 0, 30, 100) for i in range(3, 90, 3)]
+    assert _passages(spark, docs) == wanted
+    monkeypatch.setattr(substring_dedup, "HOT_COUNT", 5)
+    assert _passages(spark, docs) == wanted
+    monkeypatch.setattr(substring_dedup, "HOT_SEEDS", 0)
+    assert _passages(spark, docs) == wanted
+
+
+def test_chains_equal_brute_force():
+    """The best chain score, over all predecessors within reach."""
+    rng = random.Random(7)
+    for _ in range(30):
+        pairs = {(rng.randrange(300), rng.randrange(300)) for _ in range(60)}
+        base = rng.randrange(100)
+        pairs |= {(i, base + i) for i in range(0, 150, rng.choice([3, 11]))}
+        pairs = sorted(pairs)
+        score = {}
+        for x, y in pairs:
+            best = float(substring_dedup.SEED)
+            for (p, q), s in list(score.items()):
+                if 0 < x - p <= substring_dedup.MAX_GAP and 0 < y - q <= substring_dedup.MAX_GAP:
+                    step = min(x - p, y - q, substring_dedup.SEED)
+                    best = max(best, s + step - substring_dedup.GAP_COST * (x - p + y - q - 2 * step))
+            score[x, y] = best
+        a, b = (np.array(side) for side in zip(*pairs, strict=True))
+        found = substring_dedup.chains(a, b)
+        assert sum(c.shape[1] for c in found) == len(pairs)
+        # The tree counts overlapping matches as if they did not overlap, hence a word of slack.
+        ends = [score[c[0][-1], c[1][-1]] for c in found]
+        assert max(ends) >= max(score.values()) - 1
+
+
+def test_cut_leaves_other_texts_of_an_id_and_other_columns(spark):
+    prepare(spark)
+    rng = random.Random(8)
+    passage, other = _fresh(rng, 80), _fresh(rng, 60)
+    rows = [(1, " ".join(passage)), (2, " ".join(passage)), (2, " ".join(other)), (2, None), (None, " ".join(passage))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.selectExpr("*", "7 AS _text", "8 AS digest", "9 AS cuts", "length(text) AS n_chars")
+    out = substring_dedup.without_repeats(docs)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text, r._text, r.cuts) for r in out.collect()]
+    assert (1, rows[0][1], 7, 9) in got and (2, rows[2][1], 7, 9) in got and len(got) == 5
+    assert (2, None, 7, 9) in got and (None, rows[4][1], 7, 9) in got
+
+
 def test_cut_texts(spark):
     prepare(spark)
     rng = random.Random(6)
