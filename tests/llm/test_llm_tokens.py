@@ -218,3 +218,20 @@ def test_reading_chunks_back(spark, tmp_path):
     with pytest.raises(ValueError):
         for _, _, payload in reader.records():
             list(payload)
+
+
+def test_repeated_ids_are_one_record(spark):
+    prepare(spark)
+    big = "<p>" + "text " * 40_000
+    rows = [(1, "u", "a" * 200), (1, "u", "a" * 200), (2, "b", "x" * 300), (2, "a", big), (2, "a", big + "y"),
+            (3, None, "a" * 200), (3, "z", None), (4, "q", None), (4, "q", ""), (None, "n", "lost"), (5, "p", "a" * 200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    pages = pages.selectExpr("*", "1 AS record_id", "2 AS n", "3 AS sha")
+    out = {r.page_id: r for r in warc_chunks.archive_and_read(spark, pages, 3).collect()}
+    assert sorted(out) == [1, 2, 3, 4, 5]
+    chosen = min((big, big + "y"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    html = {1: "a" * 200, 2: chosen, 3: "a" * 200, 4: "", 5: "a" * 200}
+    for i, r in out.items():
+        body = html[i].encode()
+        assert (r.payload_bytes, r.payload_digest) == (len(body), hashlib.sha256(body).hexdigest())
+        assert (r.record_type, r.refers_to) == (("revisit", 1) if i in (3, 5) else ("response", None))

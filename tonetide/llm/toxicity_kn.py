@@ -1,24 +1,29 @@
-"""Toxicity from class-conditional Kneser-Ney models of words.
+"""Toxicity from class-conditional Kneser-Ney models of words and their beginnings.
 
 Words are runs of letters in lower case. An interpolated model with absolute
 discounting gives the chance of a word after the one before it, once as counted in
-toxic and once in ordinary documents; a pair falls back on the word, and the word on
-counts that both classes share and that come from the whole corpus. As in the lower
-orders of such models, counts are numbers of contexts, not of tokens: a context is a
-document, so a word repeated inside one counts once.
-
-The discount is in documents, a share of the smaller class: expressions of fewer
-documents are left to the shared counts entirely, for a word met a few times says
-nothing of its class. Counts of the larger class are brought to the size of the
-smaller one, and its discount is set so that both give the same mass to the shared
-counts. A word that neither class knows is then evidence for neither.
-
-A document scores the difference of the two log-likelihoods over its distinct words,
-each at its first use, divided by their number. A logistic curve fitted on other
-labelled documents turns that into a chance; they also choose the discount. Counting
-over the corpus and scoring run on all documents; the class models come from a bounded
-sample of labelled rows (FIT_ROWS of either class), so what is broadcast is bounded by
-that sample.
+toxic and once in ordinary documents. A pair falls back on the word, the word on its
+first six letters, these on the first five and four, and the last on counts that both
+classes share and that come from the whole corpus: an unseen form of a familiar stem is
+judged by the stem. As in the lower orders of such models, counts are numbers of
+contexts, not of tokens: a context is a document, so a word repeated inside one counts
+once.
+
+The discount is in documents, a share of the smaller class: what is met in fewer
+documents is smoothed away into the next lower order, down to the shared counts. Counts
+of the larger class are brought to the size of the smaller one, and its discount is set
+so that both pass on the same mass. A word that neither class knows, nor its beginning,
+is then evidence for neither.
+
+A document scores the mean difference of the two log-likelihoods over its most telling
+distinct words, each at its first use: the mean over all words drowns a few insults in
+the small differences of hundreds of other words (on the folds used for fitting, at scale
+0.1, it found none to 49% of the toxic documents, the mean over two words 84%). A logistic
+curve fitted on other labelled documents turns that into a chance; they also choose the
+discount and the number of words. Evidence against toxicity counts as none.
+Counting over the corpus and scoring run on all documents; the class models come from a
+bounded sample of labelled rows (FIT_ROWS of either class), so what is broadcast is
+bounded by that sample.
 """
 
 from __future__ import annotations
@@ -40,8 +45,11 @@ FIT_ROWS = 2_000
 CURVE_ROWS = 6_000
 # Discounts to choose from, as shares of the documents of the smaller class.
 DISCOUNTS = (0.01, 0.02, 0.05, 0.1, 0.2)
-# Added to the number of distinct words, so that a few words prove little.
-FEW_WORDS = 30
+# Numbers of most telling words to choose from; a text with fewer is filled up with zeros.
+TELLING = (1, 2, 3, 5, 10)
+# Letters of the beginnings a word falls back on, and the mark behind them.
+BEGINNINGS = (4, 5, 6)
+MARK = "*"
 PREDICT = 0.7
 
 LETTERS = r"[^\x00-\x60\x7b-\x7f]+"
@@ -51,15 +59,30 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
+def parent(gram: str) -> str | None:
+    """What a word or a beginning falls back on."""
+    letters = len(gram.rstrip(MARK)) - 1
+    if letters < BEGINNINGS[0]:
+        return None
+    return gram[: min(letters, BEGINNINGS[-1])] + MARK
+
+
+def _beginnings(words: Column, letters: int) -> Column:
+    longer = F.filter(words, lambda word: F.length(word) > letters)
+    return F.transform(longer, lambda word: F.concat(F.substring(word, 1, letters), F.lit(MARK)))
+
+
 def _documents_with(docs: DataFrame, pairs: bool, *keys: str) -> DataFrame:
-    """``gram`` and ``n``: in how many documents a word, or a pair ``before word``, is."""
+    """In how many documents (``n``) a word or beginning is, or a pair ``before word``."""
     found = docs.select(*keys, F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)).alias("words"))
-    grams = F.col("words")
+    grams = F.array_distinct("words")
     if pairs:
         before = F.concat(F.array(F.lit("")), F.col("words"))
         grams = F.zip_with("words", before, lambda word, v: F.concat(v, F.lit(" "), word))
         # The last word is nobody's history here.
         grams = F.filter(grams, lambda gram: gram.isNotNull())
+    else:
+        grams = F.concat(grams, *[_beginnings(grams, n) for n in BEGINNINGS])
     return (
         found.select(*keys, F.explode(F.array_distinct(grams)).alias("gram"))
         .groupBy(*keys, "gram")
@@ -67,13 +90,19 @@ def _documents_with(docs: DataFrame, pairs: bool, *keys: str) -> DataFrame:
     )
 
 
+def level(gram: str) -> int:
+    """0 for whole words, else the letters of a beginning."""
+    return len(gram) - 1 if gram.endswith(MARK) else 0
+
+
 class Counts:
     """Counts of one class; those of a single document are only summed up."""
 
     def __init__(self) -> None:
         self.documents = 0
         self.words: dict[str, int] = {}
-        self.word_sum = 0
+        # Per level, over all words or beginnings.
+        self.sums: dict[int, int] = {}
         self.pairs: dict[tuple[str, str], int] = {}
         self.pair_sums: dict[str, int] = {}
 
@@ -88,33 +117,48 @@ class Model:
 
     def __init__(self, toxic: Counts, ordinary: Counts, shared: dict[str, float], share: float):
         classes = (toxic, ordinary)
-        least = min(toxic.word_sum, ordinary.word_sum)
-        scale = [least / c.word_sum for c in classes]
-        small = 0 if toxic.word_sum == least else 1
-        counts = [np.array(list(c.words.values()), float) * z for c, z in zip(classes, scale)]
-        discount = [max(1.0, share * classes[small].documents)] * 2
-        mass = _mass(counts[small], least, discount[small])
-        low, high = 0.0, float(counts[1 - small].max(initial=0.0))
-        for _ in range(60):
-            middle = (low + high) / 2
-            if _mass(counts[1 - small], least, middle) < mass:
-                low = middle
-            else:
-                high = middle
-        discount[1 - small] = high
-        fall = [_mass(n, least, d) for n, d in zip(counts, discount)]
-
-        def chance(c: int, word: str) -> float:
-            n = classes[c].words.get(word, 0) * scale[c]
-            return max(n - discount[c], 0.0) / least + fall[c] * shared[word]
-
-        rest = math.log(fall[0] / fall[1])
+        known = toxic.words.keys() | ordinary.words.keys()
+        # The chance of each known word and beginning in either class.
+        chances: dict[str, tuple[float, float]] = {}
         self.words = {}
-        for word in toxic.words.keys() | ordinary.words.keys():
-            gain = math.log(chance(0, word) / chance(1, word)) - rest
-            if gain:
-                self.words[word] = gain
-
+        for size in (*BEGINNINGS, 0):
+            grams = [g for g in known if level(g) == size]
+            sums = [c.sums.get(size, 0) for c in classes]
+            if not grams or not all(sums):
+                continue
+            least = min(sums)
+            scale = [least / n for n in sums]
+            small = 0 if sums[0] == least else 1
+            counts = [
+                np.array([n for g, n in c.words.items() if level(g) == size], float) * z
+                for c, z in zip(classes, scale)
+            ]
+            discount = [max(1.0, share * classes[small].documents)] * 2
+            mass = _mass(counts[small], least, discount[small])
+            low, high = 0.0, float(counts[1 - small].max(initial=0.0))
+            for _ in range(60):
+                middle = (low + high) / 2
+                if _mass(counts[1 - small], least, middle) < mass:
+                    low = middle
+                else:
+                    high = middle
+            discount[1 - small] = high
+            fall = [_mass(n, least, d) for n, d in zip(counts, discount)]
+            rest = math.log(fall[0] / fall[1])
+            for gram in grams:
+                lower = self._lower(gram, chances, shared)
+                p = tuple(
+                    max(classes[c].words.get(gram, 0) * scale[c] - discount[c], 0.0) / least
+                    + fall[c] * lower[c]
+                    for c in (0, 1)
+                )
+                chances[gram] = (p[0], p[1] * math.exp(rest))
+                own = math.log(p[0] / p[1]) - rest
+                if abs(own - self.gain(parent(gram))) > 1e-12:
+                    self.words[gram] = own
+        # For pairs: those of whole words, as left by the last level.
+        if not all(c.sums.get(0, 0) for c in classes):
+            scale, discount = [1.0, 1.0], [math.inf, math.inf]
         over: tuple[dict, dict] = ({}, {})
         kept = []
         for c in (0, 1):
@@ -123,42 +167,63 @@ class Model:
                 if n > 0:
                     kept.append(pair)
                     over[c][pair[0]] = over[c].get(pair[0], 0.0) + n
-        # Histories without a pair above the discount pass all on: no evidence.
+        # What a history passes on to the word.
         left: dict[str, list[float]] = {}
         for v in over[0].keys() | over[1].keys():
             left[v] = [
                 1 - over[c].get(v, 0.0) / (classes[c].pair_sums[v] * scale[c]) if v in over[c] else 1.0
                 for c in (0, 1)
             ]
-        self.fall = {v: math.log(max(a, 1e-9) / max(b, 1e-9)) for v, (a, b) in left.items()}
         self.pairs = {}
         for v, word in kept:
             p = []
             for c in (0, 1):
                 n = max(classes[c].pairs.get((v, word), 0) * scale[c] - discount[c], 0.0)
                 own = n / (classes[c].pair_sums[v] * scale[c]) if n else 0.0
-                p.append(own + max(left[v][c], 1e-9) * chance(c, word))
-            self.pairs[v, word] = math.log(p[0] / p[1]) - rest
+                p.append(own + max(left[v][c], 1e-9) * chances[word][c])
+            self.pairs[v, word] = math.log(p[0] / p[1])
+
+    def _lower(self, gram: str, chances: dict, shared: dict[str, float]) -> tuple[float, float]:
+        """The chance of a gram by the next lower order that a class knows."""
+        above = parent(gram)
+        while above is not None and above not in chances:
+            above = parent(above)
+        if above is None:
+            return shared[gram], shared[gram]
+        inside = shared[gram] / shared[above]
+        return chances[above][0] * inside, chances[above][1] * inside
+
+    def gain(self, gram: str | None) -> float:
+        """How much likelier a word is in toxic text, by it or its longest known beginning."""
+        while gram is not None:
+            found = self.words.get(gram)
+            if found is not None:
+                return found
+            gram = parent(gram)
+        return 0.0
 
 
 _LETTERS = re.compile(LETTERS)
 
 
 def features(models: list[Model], text: str) -> list[float]:
-    """Per model, the mean log-ratio of the text's distinct words at their first use."""
+    """Per model and number of words, the mean log-ratio of the most telling distinct words."""
     words = _LETTERS.findall(text.lower())
     first = dict.fromkeys(words)
     for i in range(len(words) - 1, -1, -1):
         first[words[i]] = i
     out = []
     for model in models:
-        known, fall, pairs = model.words, model.fall, model.pairs
-        total = 0.0
+        pairs = model.pairs
+        best = [0.0] * TELLING[-1]
         for word, i in first.items():
-            v = words[i - 1] if i else ""
-            gain = pairs.get((v, word)) if v in fall else None
-            total += known.get(word, 0.0) + fall.get(v, 0.0) if gain is None else gain
-        out.append(total / (len(first) + FEW_WORDS))
+            gain = pairs.get((words[i - 1] if i else "", word)) if pairs else None
+            if gain is None:
+                gain = model.gain(word)
+            if gain > best[-1]:
+                best[-1] = gain
+                best.sort(reverse=True)
+        out += [sum(best[:k]) / k for k in TELLING]
     return out
 
 
@@ -193,8 +258,9 @@ def _counts(spark: SparkSession, docs: DataFrame, texts: DataFrame) -> tuple[Cou
     words = keep(_documents_with(texts, False, "toxic"), "class-words")
     pairs = keep(_documents_with(texts, True, "toxic"), "class-pairs")
     # All of this is bounded by FIT_ROWS documents of either class.
-    for row in words.groupBy("toxic").agg(F.sum("n").alias("n")).collect():
-        classes[1 - row["toxic"]].word_sum = row["n"]
+    size = F.when(F.endswith("gram", F.lit(MARK)), F.length("gram") - 1).otherwise(0)
+    for row in words.groupBy("toxic", size.alias("level")).agg(F.sum("n").alias("n")).collect():
+        classes[1 - row["toxic"]].sums[row["level"]] = row["n"]
     for row in words.where("n > 1").toLocalIterator():
         classes[1 - row["toxic"]].words[row["gram"]] = row["n"]
     repeated = pairs.where("n > 1")
@@ -213,8 +279,10 @@ def _counts(spark: SparkSession, docs: DataFrame, texts: DataFrame) -> tuple[Cou
     return *classes, {row["gram"]: row["n"] / total for row in shared.toLocalIterator()}
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float] | None:
-    """The model and its curve; None without labelled documents of both classes.
+def fit(
+    spark: SparkSession, docs: DataFrame, labels: DataFrame
+) -> tuple[Model, int, float, float] | None:
+    """The model, its place in TELLING and its curve; None without labelled documents of both classes.
 
     Only labels whose id has a remainder other than 1 are looked at: remainder 0
     for the class models, 2 for the curve and the discount.
@@ -230,22 +298,22 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Model,
         _sample(fitting[0], docs, FIT_ROWS).union(_sample(fitting[1], docs, FIT_ROWS)), "fit"
     )
     toxic, ordinary, shared = _counts(spark, docs, texts)
-    if not toxic.word_sum or not ordinary.word_sum:
+    if not toxic.sums or not ordinary.sums:
         return None
     models = [Model(toxic, ordinary, shared, share) for share in DISCOUNTS]
 
     curve = keep(_sample(labels.where(fold == 2), docs, CURVE_ROWS), "curve")
     marked = [(*r["x"], r["toxic"]) for r in _features(spark, curve, models, "toxic").toLocalIterator()]
-    table = np.array(marked, float).reshape(-1, len(models) + 1)
+    table = np.array(marked, float).reshape(-1, len(models) * len(TELLING) + 1)
     y = table[:, -1]
     if y.min(initial=1) == y.max(initial=0):
         return None
     best = None
-    for model, x in zip(models, table.T):
+    for i, x in enumerate(table.T[:-1]):
         slope, base = fit_curve(x, y)
         loss = np.logaddexp(0, np.where(y == 1, -1, 1) * (x * slope + base)).sum()
         if best is None or loss < best[0]:
-            best = loss, model, slope, base
+            best = loss, models[i // len(TELLING)], i % len(TELLING), slope, base
     return best[1:]
 
 
@@ -277,8 +345,8 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     if fitted is None:
         value = docs.withColumn("score", F.lit(0.0))
     else:
-        model, slope, base = fitted
-        z = F.col("x")[0] * slope + base
+        model, telling, slope, base = fitted
+        z = F.col("x")[telling] * slope + base
         value = _features(spark, docs, [model], "doc_id").withColumn("score", 1 / (1 + F.exp(-z)))
     return value.select(
         "doc_id",

@@ -1,7 +1,8 @@
 """WARC archives written from and read into a table of record chunks.
 
-A payload is a run of rows (record id, chunk number, bytes): no step after the
-input's own reader holds a whole payload. Chunks are cut inside Spark; a digest runs
+A payload is a run of rows (record id, chunk number, bytes). The task that cuts it holds
+it once more in UTF-8; no step after that holds a whole payload. Chunks are cut inside
+Spark; a digest runs
 along a record's chunks and every chunk carries it as far as it has come, so the
 last has the payload's digest and a reader can check each chunk by itself.
 
@@ -37,6 +38,28 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CHUNKS = "record_id long, url string, chunk_no int, last boolean, size long, digest string, data binary"
 
 
+def one_row_per_id(pages: DataFrame) -> DataFrame:
+    """Rows with an id, each id once: by smallest url, then smallest SHA-256 of the html.
+
+    A null url comes first, a null html counts as empty. Only rows whose id occurs more
+    than once are looked at again; payloads of the others stay where they are.
+    """
+    named = pages.where("page_id IS NOT NULL").select(
+        F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
+    )
+    repeated = keep(
+        named.groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1").select("page_id"), "repeated"
+    )
+    if repeated.isEmpty():
+        return named
+    row = F.struct("url", F.sha2("html", 256).alias("sha")).alias("_row")
+    several = named.join(repeated, "page_id", "left_semi").select("*", row)
+    chosen = keep(several.groupBy("page_id").agg(F.min("_row").alias("_first")), "chosen")
+    ours = (several["page_id"] == chosen["page_id"]) & several["_row"].eqNullSafe(chosen["_first"])
+    kept = several.join(chosen, ours, "left_semi").select("page_id", "url", "html")
+    return named.join(repeated, "page_id", "left_anti").union(kept.dropDuplicates(["page_id"]))
+
+
 def chunk_table(pages: DataFrame) -> DataFrame:
     """``record_id``, ``url``, ``chunk_no``, ``last``, ``data``; a record's chunks in a row.
 
@@ -319,11 +342,10 @@ def archive_and_read(spark: SparkSession, pages: DataFrame, files: int) -> DataF
     ``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type``,
     ``refers_to``, ``chunks``. Needs ``page_id``, ``url``, ``html``; a null html is
     an empty payload, a null url is written as ``about:blank``. Rows that repeat an
-    id count once, the smallest url and html standing for it; rows with a null id
-    are left out. An empty table writes nothing; other columns are ignored.
+    id count once, see :func:`one_row_per_id`; rows with a null id are left out. An empty table writes nothing; other columns are ignored.
     """
     folder = new_folder(spark, "warc")
-    chunks = with_digests(chunk_table(pages.where("page_id IS NOT NULL")))
+    chunks = with_digests(chunk_table(one_row_per_id(pages)))
     roles = keep(record_roles(chunks), "roles")
     written = keep(write_archives(chunks, roles, folder), "archives")
     back = read_archives(written.repartition(files, "path"), folder)
