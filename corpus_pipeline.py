@@ -19,13 +19,14 @@ def toxicity(spark, docs, sf_dir):
 def minhash_near_dedup(spark, docs, sf_dir):
     """Of every group of near copies the document with the smallest id stays.
 
-    Rows that repeat an id count as copies; rows without an id all stay.
+    Rows that repeat an id count as copies, and the text with the smallest SHA-256 stays;
+    rows without an id all stay.
     """
     prepare(spark)
     found = hyperminhash.near_duplicates(docs)
     dropped = found.where("NOT kept").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti")
-    named = named.select(*docs.columns).dropDuplicates(["doc_id"])
+    named = substring_dedup.one_text_per_id(named.select(*docs.columns)).dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -59,8 +60,8 @@ STAGES = [
     ("bpe_merge_replay", bpe_merge_replay),
 ]
 
-# The language model, the hashes of the mix and the tokenizer have no SQL form; the
-# run is tested against brute force on a small corpus instead.
+# The language model, the hashes of the mix and the tokenizer have no SQL form. Tests hold
+# each stage against its operator, and the operators against brute force.
 ORACLE_SQL = None
 
 
