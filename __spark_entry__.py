@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ TOP_SOURCES_K = 5
 TAXONOMY_CUT = 10
 SKETCHED_DAYS = ("2024-01-05", "2024-01-20")
 EVOLUTION = ("BLUE_GEAR", "1996-01-01", "1999-01-01")
+FILE_TIMES = (datetime(1996, 3, 1), datetime(1998, 8, 1))
 
 
 # -- Spark side ----------------------------------------------------------------
@@ -269,6 +271,32 @@ def theme_day_tone_increments(spark, sf_dir):
     return _flat(plans.ledger_stats(read_ledger(spark, ledger)), THEME_DAY_KEYS)
 
 
+def theme_day_tone_few(spark, sf_dir):
+    """Mentions of documents without a wanted theme stay out of the shuffle."""
+    stats = plans.theme_tone(
+        v.ment(spark, sf_dir), v.docs(spark, sf_dir), v.TAXONOMY, v.THEMES, few_documents=True
+    )
+    return _flat(stats, THEME_DAY_KEYS)
+
+
+def mentions_of_some_files(spark, sf_dir):
+    """A feed of a file a month, of which those of some months are read."""
+    folder = f"{shared_folder(spark)}/feed-{uuid.uuid4().hex}"
+    month = F.substring(F.get(F.split("value", "\t"), F.lit(2)), 1, 6)
+    lines = v.ment_lines(spark, sf_dir).withColumn("file", F.concat(month, F.lit("01000000")))
+    lines.hint("rebalance", "file").write.partitionBy("file").text(folder)
+    rows = sources.read_mentions(spark, f"{folder}/file=*", start=FILE_TIMES[0], end=FILE_TIMES[1])
+    return rows.select("mention_id", "mention_doc_tone", _time())
+
+
+def latest_tone_stored(spark, sf_dir):
+    """The newest row of each wanted theme, from a stored table read from its end."""
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    sources.write_stats(_theme_day(spark, sf_dir), path)
+    rows = op.latest_stored(sources.read_stats(spark, path), v.THEMES)
+    return _flat(rows, THEME_DAY_KEYS)
+
+
 def theme_day_source_tone(spark, sf_dir):
     return _flat(_theme_day_source(spark, sf_dir), THEME_DAY_SOURCE_KEYS)
 
@@ -363,6 +391,9 @@ QUERIES = (
     collect_tones,
     theme_day_tone,
     theme_day_tone_increments,
+    theme_day_tone_few,
+    mentions_of_some_files,
+    latest_tone_stored,
     theme_day_source_tone,
     theme_day_tone_learned,
     tone_multi_grain,
@@ -613,6 +644,14 @@ FROM ev WHERE time BETWEEN '{SKETCHED_DAYS[0]}' AND '{SKETCHED_DAYS[1]}' GROUP B
         "theme_day_tone": _with(*_DAY_CTES) + f"SELECT theme, {_SHOW}, {_VALUES} FROM theme_day",
         "theme_day_tone_increments": _with(*_DAY_CTES)
         + f"SELECT theme, {_SHOW}, {_VALUES} FROM theme_day",
+        "theme_day_tone_few": _with(*_DAY_CTES) + f"SELECT theme, {_SHOW}, {_VALUES} FROM theme_day",
+        "mentions_of_some_files": _with(_MENT)
+        + f"""SELECT mention_id, tone AS mention_doc_tone, {_SHOW}
+FROM (SELECT *, {_DAY} AS time FROM ment WHERE l_linenumber NOT IN (6, 7))
+WHERE time >= timestamp '{FILE_TIMES[0]}' AND time < timestamp '{FILE_TIMES[1]}'""",
+        "latest_tone_stored": _with(*_DAY_CTES)
+        + f"""SELECT theme, {_SHOW}, {_VALUES} FROM theme_day
+QUALIFY row_number() OVER (PARTITION BY theme ORDER BY time DESC) = 1""",
         "theme_day_source_tone": _with(*_DAY_SOURCE_CTES)
         + f"SELECT theme, {_SHOW}, src_common_name, {_VALUES} FROM theme_day_source",
         "theme_day_tone_learned": _with(

@@ -8,9 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tonetide import __main__ as cli
-from tonetide import plans
+from tonetide import plans, sources
 from tonetide.functions import clean_themes
-from tonetide.operators import collect_tones, document_themes, join_mentions, theme_tones
+from tonetide.operators import (
+    collect_tones,
+    document_themes,
+    join_mentions,
+    joins,
+    possible_mentions,
+    theme_tones,
+)
 from tonetide.plans import rebuild
 from tonetide.plans.rebuild import Paths, run_all
 from tonetide.sources import read_stats
@@ -177,6 +184,97 @@ def test_run_all(spark, mentions, documents, feed):
         run_all(spark, feed, "other")
 
 
+@pytest.mark.parametrize("dies_at", ["themes", "theme_day_source"])
+def test_a_run_that_died_goes_on_after_its_last_step(spark, feed, monkeypatch, dies_at):
+    done, alive, real_do = [], [], rebuild.Steps.do
+
+    def do(steps, step, work):
+        def watched():
+            done.append(step)
+            if step == dies_at and not alive:
+                raise RuntimeError("died")
+            return work()
+
+        return real_do(steps, step, watched)
+
+    monkeypatch.setattr(rebuild.Steps, "do", do)
+    options = {"min_count": 2, "k_themes": 3, "k_sources": 1}
+    with pytest.raises(RuntimeError):
+        run_all(spark, feed, "new", **options)
+    alive.append(True)
+    run_all(spark, feed, "new", **options)
+    steps = ["taxonomy", "themes", "sources", "statistics", "theme_day", "theme_day_source", "end"]
+    at = steps.index(dies_at)
+    assert done == steps[: at + 1] + steps[at:]
+    once = {path: sorted(map(str, read_stats(spark, path).collect())) for path in (feed.theme_day, feed.theme_day_source)}
+    # A finished run is done again, and gives the same.
+    done.clear()
+    run_all(spark, feed, "new", **options)
+    assert done == steps
+    for path, rows in once.items():
+        assert rows and sorted(map(str, read_stats(spark, path).collect())) == rows
+
+
+def test_changed_inputs_are_not_taken_for_the_run_that_died(spark, feed, monkeypatch):
+    def die(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(rebuild, "write_stats", die)
+        with pytest.raises(RuntimeError):
+            run_all(spark, feed, "new", min_count=2)
+    before = spark.read.text(feed.mentions).collect()
+    late = feed.mentions.replace("*", "2")
+    spark.createDataFrame(before[:50], "value string").write.text(late)
+    run_all(spark, feed, "new", min_count=2)
+    total = read_stats(spark, feed.theme_day).agg(F.sum("num_mentions")).first()[0]
+    words, themes = (
+        [r[0] for r in spark.read.csv(path, header=True).select(name).na.fill("").collect()]
+        for path, name in ((feed.taxonomy, "first_two_themes"), (feed.themes, "theme"))
+    )
+    mentions, documents = rebuild.read_mentions(spark, feed.mentions), rebuild.read_documents(spark, feed.documents)
+    rows = plain_rows(mentions, documents, words, [t for t in themes if t])
+    assert total == rows.count()
+
+
+@pytest.mark.parametrize("slots", [4, 1 << 20])
+def test_few_documents_change_no_result(mentions, documents, monkeypatch, slots):
+    """With few slots all are taken, and with many the filter is used."""
+    monkeypatch.setattr(joins, "FILTER_SLOTS", slots)
+    want = table(plain_stats(plain_rows(mentions, documents, TAXONOMY, ["B"]), DAY), DAY)
+    got = plans.theme_tone(mentions, documents, TAXONOMY, ["B"], few_documents=True)
+    assert table(got, DAY) == want
+    both = plans.tone_tables(mentions, documents, TAXONOMY, ["B"], SOURCES, few_documents=True)
+    assert table(both.where("grain = 'theme_day'"), DAY) == want
+
+
+def test_mentions_of_other_documents_go_before_the_join(spark):
+    mentions = spark.range(20_000).selectExpr("concat('d', id) AS mention_id", "1.0D AS mention_doc_tone")
+    documents = spark.range(0, 20_000, 400).selectExpr("concat('d', id) AS doc_id")
+    left = possible_mentions(mentions, documents)
+    assert 50 <= left.count() <= 55
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(mention_id" not in plan
+
+
+def test_single_jobs(spark, mentions, documents, feed, monkeypatch):
+    """Each list and the table of seconds from the command line."""
+    out = feed.theme_day
+    cli.main(["taxonomy", "--documents", feed.documents, "--out", feed.taxonomy, "--cut", "2"])
+    cli.main(["themes", "--documents", feed.documents, "--taxonomy", feed.taxonomy, "--out", feed.themes, "--top", "3"])
+    cli.main(["sources", "--documents", feed.documents, "--out", feed.sources, "--top", "1"])
+    words = [r[0] for r in plans.taxonomy_words(documents, 2).collect()]
+    learned = [r[0] for r in sources.read_vocab(spark, feed.taxonomy, "first_two_themes").collect()]
+    assert sorted(learned) == sorted(words)
+    assert sources.read_vocab(spark, feed.sources, "src_common_name").count() == 1
+    cli.main(["tone", "--mentions", feed.mentions, "--documents", feed.documents, "--out", out])
+    named = documents.where("src_common_name <> '' AND size(themes) > 0")
+    want = table(plain_stats(plain_rows(mentions, named, None, None), DAY), DAY)
+    assert table(read_stats(spark, out), DAY) == want
+    with pytest.raises(SystemExit):
+        cli.main(["tone", "--mentions", feed.mentions])
+
+
 def test_databases_are_filled_too(spark, mentions, documents, feed, monkeypatch):
     """The writer is replaced: what would be appended must equal the stored table."""
     seen = {}

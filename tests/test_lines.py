@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
+import random
+import re
 from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +23,7 @@ from tonetide.sources import (
     read_mentions,
     register_views,
     rejected_lines,
+    time_glob,
 )
 
 
@@ -163,3 +168,51 @@ def test_every_line_is_parsed_or_rejected(spark, grain, check_width):
     docs = lines(spark, *[document(n) for n in (1, 4, 7, 8, 26, 27, 30)], document(d3=""))
     parsed = parse_documents(docs, check_width=check_width).count()
     assert parsed + rejected_lines(docs, "documents", check_width=check_width).count() == 8
+
+
+def matches(glob, name):
+    """Whether a name is matched by one of the alternatives of a glob."""
+    before, inner, after = re.fullmatch(r"(.*)\{(.*)\}(.*)", glob).groups()
+    return any(fnmatch.fnmatchcase(name, before + one + after) for one in inner.split(","))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_globs_of_times_match_the_range_alone(seed):
+    rng = random.Random(seed)
+    first = datetime(2015, 1, 1) + timedelta(minutes=15 * rng.randrange(200_000))
+    start, end = first, first + timedelta(minutes=15 * rng.choice([1, 3, 96, 2_977, 40_000]))
+    if seed % 5 == 0:
+        start = None
+    elif seed % 5 == 1:
+        end = None
+    glob = time_glob("/feed/x.*.mentions.csv", start, end)
+    assert glob.count(",") < 2 * 14
+    low, high = start or datetime(1000, 1, 1), end or datetime(9999, 12, 31)
+    moments = [m for m in (start, end) if m]
+    moments += [m - timedelta(seconds=1) for m in moments]
+    moments += [datetime(2015, 1, 1) + timedelta(minutes=15 * rng.randrange(250_000)) for _ in range(500)]
+    for moment in moments:
+        name = f"/feed/x.{moment:%Y%m%d%H%M%S}.mentions.csv"
+        assert matches(glob, name) == (low <= moment < high), name
+    assert not matches(glob, f"/feed/x.{first:%Y%m%d%H%M%S}.gkg.csv")
+
+
+def test_globs_of_times_without_a_place_or_a_time():
+    assert time_glob("/a/*.csv") == "/a/*.csv"
+    with pytest.raises(ValueError):
+        time_glob("/a*/b.csv", start=datetime(2020, 1, 1))
+    with pytest.raises(ValueError):
+        time_glob("/a/*.csv", datetime(2020, 1, 2), datetime(2020, 1, 2))
+
+
+def test_files_of_other_times_are_not_opened(spark, tmp_path):
+    for day in range(10, 29):
+        (tmp_path / f"201807{day}063015.mentions.csv").write_text(mention(m5=f"u{day}") + "\n")
+        (tmp_path / f"201807{day}063015.gkg.csv").write_text("bad\n")
+    start, end = datetime(2018, 7, 18, 6, 30, 15), datetime(2018, 7, 21, 6, 30, 15)
+    rows = read_mentions(spark, f"{tmp_path}/*.mentions.csv", start=start, end=end)
+    opened = sorted(file.rsplit("/", 1)[1][:8] for file in rows.inputFiles())
+    assert opened == ["20180718", "20180719", "20180720"]
+    assert sorted(r.mention_id for r in rows.collect()) == ["u18", "u19", "u20"]
+    rows = read_documents(spark, f"{tmp_path}/*.gkg.csv", end=datetime(2018, 7, 12))
+    assert len(rows.inputFiles()) == 2 and rows.count() == 0

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonetide.operators import latest_tone, tone_distribution, tone_evolution
+from tonetide.operators import latest_stored, latest_tone, tone_distribution, tone_evolution
 from tonetide.schemas import THEME_DAY_KEYS, THEME_DAY_SOURCE_DDL, THEME_DAY_SOURCE_KEYS
 from tonetide.sources import (
     check_stats,
@@ -174,3 +174,32 @@ def test_latest(stats):
            latest_tone(stats, ["theme", "src_common_name"]).collect()}
     assert got == {("A", "s", 2), ("A", "t", 3), ("B", "s", 2)}
     assert latest_tone(stats).count() == 2
+
+
+def test_latest_of_a_stored_table_reads_from_its_end(spark, tmp_path):
+    rows = [row(theme, day) for day in range(1, 29) for theme in ("OLD", "NEW") if theme == "NEW" or day < 27]
+    rows.append(row("GONE", 3))
+    stats = spark.createDataFrame(rows, THEME_DAY_SOURCE_DDL).drop("src_common_name")
+    write_stats(stats, str(tmp_path / "t"))
+    stored = read_stats(spark, str(tmp_path / "t"))
+
+    some = latest_stored(stored, ["GONE", "NEVER"])
+    assert [(r.theme, r.time.day) for r in some.collect()] == [("GONE", 3)]
+    assert latest_stored(stored, ["NEVER"]).count() == 0
+
+    # Days that no longer can be read show which are: first the last, then two, then four.
+    def spoil(*days):
+        for day in days:
+            for file in (tmp_path / "t" / f"date=2020-01-{day:02}").glob("*.parquet"):
+                file.write_bytes(b"spoilt")
+            for file in (tmp_path / "t" / f"date=2020-01-{day:02}").glob(".*.crc"):
+                file.unlink()
+
+    spoil(*range(1, 26))
+    both = latest_stored(stored, ["NEW", "OLD"])
+    assert sorted((r.theme, r.time.day) for r in both.collect()) == [("NEW", 28), ("OLD", 26)]
+    with pytest.raises(Exception, match="FAILED_READ_FILE|spoilt|not a Parquet file"):
+        latest_stored(stored, ["GONE"]).collect()
+    spoil(26, 27)
+    newest = latest_stored(stored, ["NEW"])
+    assert [(r.theme, r.time.day) for r in newest.collect()] == [("NEW", 28)]

@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 
 from tonetide.functions import clean_themes, once
 from tonetide.operators.vocabulary import Vocabulary, clean_codes, filter_to_vocab
+from tonetide.session import written
+
+# Slots of the filter that mentions pass before their shuffle. A slot is a broadcast
+# row of one long, so this bounds the broadcast whatever the number of documents.
+FILTER_SLOTS = 1 << 20
 
 
 def join_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
@@ -89,6 +94,25 @@ def _theme_rows(
     return rows.join(dictionary, "code")
 
 
+def _slot(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS))
+
+
+def possible_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
+    """Mentions less most of those that refer to none of the documents.
+
+    The documents' ids are hashed to slots, and mentions whose id falls in a free slot
+    go, in the task that read them. With ``n`` distinct ids no more than
+    ``n / FILTER_SLOTS`` of the other mentions stay by chance; the join drops those.
+    Once half of the slots are taken the filter is not worth its broadcast, and all
+    mentions stay. ``documents`` is read twice, so it should be a written table.
+    """
+    taken = written(documents.select(_slot("doc_id").alias("slot")).distinct(), "slots")
+    if 2 * taken.count() > FILTER_SLOTS:
+        return mentions
+    return mentions.join(F.broadcast(taken), _slot("mention_id") == F.col("slot"), "left_semi")
+
+
 def theme_tones(
     mentions: DataFrame,
     documents: DataFrame,
@@ -96,6 +120,7 @@ def theme_tones(
     themes: Vocabulary | None = None,
     sources: Vocabulary | None = None,
     by_source: bool = True,
+    few_documents: bool = False,
 ) -> DataFrame:
     """One row per theme, time, source and tone of a joined pair, with its weight.
 
@@ -103,8 +128,15 @@ def theme_tones(
     ``explode`` would give. An id that is hot on one side remains a skewed join
     partition; adaptive execution splits it, and nothing downstream ties the join
     to its partitioning.
+
+    ``few_documents`` is for feeds of which few documents have a wanted theme: these
+    are written first and keep mentions of others out of the shuffle
+    (:func:`possible_mentions`). Results are the same.
     """
     coded = document_themes(documents, taxonomy, themes, sources, by_source)
+    if few_documents:
+        coded = written(coded, "documents")
+        mentions = possible_mentions(mentions, coded)
     source = ["src_common_name"] if by_source else []
     return join_mentions(mentions, coded).select(
         F.explode("themes").alias("theme"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,3 +65,24 @@ def latest_tone(stats: DataFrame, keys: Sequence[str] = THEME_DAY_KEYS[:1]) -> D
     return (
         stats.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") == 1).drop("_age")
     )
+
+
+def latest_stored(stats: DataFrame, themes: Iterable[str]) -> DataFrame:
+    """The newest row of each wanted theme in a stored table of themes and days.
+
+    Days are read from the newest on, one, then two, then four at a time, until every
+    theme is found; older days are not opened. What reaches the driver is the listing,
+    which Spark keeps there anyway, and at most the themes asked for.
+    """
+    days = {re.search(r"/date=([\d-]+)/", file).group(1) for file in stats.inputFiles()}
+    days = sorted(days, reverse=True)
+    left, parts, at, width = set(themes), [], 0, 1
+    while left and at < len(days):
+        rows = stats.where(F.col("date").isin([F.lit(d).cast("date") for d in days[at : at + width]]))
+        rows = rows.where(F.col("theme").isin(*sorted(left)))
+        found = {row["theme"] for row in rows.select("theme").distinct().collect()}
+        if found:
+            parts.append(latest_tone(rows.where(F.col("theme").isin(*sorted(found))), ["theme"]))
+            left -= found
+        at, width = at + width, 2 * width
+    return reduce(DataFrame.unionByName, parts) if parts else stats.limit(0)

@@ -1,7 +1,13 @@
 """Whole jobs."""
 
 from tonetide.plans.increments import add_mention_files, ledger_stats, refresh_tables
-from tonetide.plans.rebuild import run_all
+from tonetide.plans.rebuild import (
+    learn_sources,
+    learn_taxonomy,
+    learn_themes,
+    run_all,
+    write_theme_tone,
+)
 from tonetide.plans.tone_jobs import (
     theme_day_source_tone,
     theme_day_tone,
@@ -12,6 +18,9 @@ from tonetide.plans.vocab_jobs import taxonomy_words, top_sources, top_themes
 
 __all__ = [
     "add_mention_files",
+    "learn_sources",
+    "learn_taxonomy",
+    "learn_themes",
     "ledger_stats",
     "refresh_tables",
     "run_all",
@@ -22,4 +31,5 @@ __all__ = [
     "tone_tables",
     "top_sources",
     "top_themes",
+    "write_theme_tone",
 ]

@@ -14,13 +14,16 @@ def theme_tone(
     documents: DataFrame,
     taxonomy: Vocabulary | None = None,
     themes: Vocabulary | None = None,
+    few_documents: bool = False,
 ) -> DataFrame:
     """Statistics per theme and time, at whatever grain the mentions were read.
 
     Without ``taxonomy`` the raw codes are the themes; without ``themes`` all of
-    them are kept.
+    them are kept. ``few_documents`` as in :func:`theme_tones`.
     """
-    rows = theme_tones(mentions, documents, taxonomy, themes, by_source=False)
+    rows = theme_tones(
+        mentions, documents, taxonomy, themes, by_source=False, few_documents=few_documents
+    )
     stats = tone_stats(rows, THEME_DAY_KEYS, weight="weight")
     return stats.select("theme", *STATS_COLUMNS, "time")
 
@@ -51,7 +54,8 @@ def tone_tables(
     taxonomy: Vocabulary,
     themes: Vocabulary,
     sources: Vocabulary,
+    few_documents: bool = False,
 ) -> DataFrame:
     """Both result tables in one pass, told apart by ``grain``."""
-    rows = theme_tones(mentions, documents, taxonomy, themes)
+    rows = theme_tones(mentions, documents, taxonomy, themes, few_documents=few_documents)
     return tone_stats_multi(rows, sources, weight="weight")

@@ -7,6 +7,7 @@ from tonetide.sources.lines import (
     read_mentions,
     register_views,
     rejected_lines,
+    time_glob,
 )
 from tonetide.sources.tables import (
     check_stats,
@@ -31,6 +32,7 @@ __all__ = [
     "register_views",
     "rejected_lines",
     "small_list",
+    "time_glob",
     "write_jdbc",
     "write_stats",
     "write_vocab",

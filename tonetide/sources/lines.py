@@ -1,6 +1,7 @@
 """Reading the two tab-separated feeds.
 
-``read_*`` takes a path, which may be a glob such as ``2018*.gkg.csv``;
+``read_*`` takes a path, which may be a glob such as ``2018*.gkg.csv``, and with
+``start`` or ``end`` opens only the files whose names lie in that time;
 ``parse_*`` takes a DataFrame with one string column ``value``, so the same rules
 serve text files, tables of lines and tests.
 """
@@ -8,6 +9,7 @@ serve text files, tables of lines and tests.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from tonetide.schemas import (
 
 _MENTION_COLUMNS = ("mention_id", "mention_doc_tone", "mention_time_date")
 _DOCUMENT_COLUMNS = ("src_common_name", "doc_id", "themes")
+# Digits of the time in the name of a feed file.
+_TIME_DIGITS = 14
 
 
 def _fields(lines: DataFrame, *keep: str) -> DataFrame:
@@ -159,15 +163,51 @@ def rejected_lines(
     )
 
 
+def time_glob(path: str, start: datetime | None = None, end: datetime | None = None) -> str:
+    """``path`` narrowed to the files of a time, by name alone.
+
+    Feed files are named after their time, ``YYYYMMDDHHMMSS``; it stands where the last
+    part of ``path`` has its first ``*`` (``feed/*.mentions.csv``). The result is a glob
+    for the names from ``start`` up to but not at ``end``, so files of other times are
+    never opened. The range is covered by runs of names that share leading digits: at
+    most two for every digit, however many files there are.
+    """
+    if start is None and end is None:
+        return path
+    folder, slash, name = path.rpartition("/")
+    before, star, after = name.partition("*")
+    if not star:
+        raise ValueError(f"no * for the time in the last part of {path!r}")
+    low = int(f"{start:%Y%m%d%H%M%S}") if start else 0
+    high = int(f"{end:%Y%m%d%H%M%S}") if end else 10**_TIME_DIGITS
+    if low >= high:
+        raise ValueError(f"no time between {start} and {end}")
+    runs = []
+    while low < high:
+        free = 0  # trailing digits that may be anything
+        while low % 10 ** (free + 1) == 0 and low + 10 ** (free + 1) <= high:
+            free += 1
+        step = 10**free
+        first = low // step % 10
+        last = first + min(9 - first, (high - low) // step - 1)
+        lead = f"{low // step // 10:0{_TIME_DIGITS - free - 1}d}" if free < _TIME_DIGITS - 1 else ""
+        runs.append(f"{lead}[{first}-{last}]" + "?" * free)
+        low += (last - first + 1) * step
+    return f"{folder}{slash}{before}{{{','.join(runs)}}}*{after}"
+
+
 def read_mentions(
     spark: SparkSession,
     path: str,
     grain: str = "day",
     require: Sequence[str] = MENTION_REQUIRED,
     check_width: bool = True,
+    start: datetime | None = None,
+    end: datetime | None = None,
 ) -> DataFrame:
-    """:func:`parse_mentions` over text files."""
-    return parse_mentions(spark.read.text(path), grain, require, check_width)
+    """:func:`parse_mentions` over text files, of all times or some (:func:`time_glob`)."""
+    lines = spark.read.text(time_glob(path, start, end))
+    return parse_mentions(lines, grain, require, check_width)
 
 
 def read_documents(
@@ -176,9 +216,12 @@ def read_documents(
     taxonomy: Iterable[str] | None = None,
     require: Sequence[str] = DOCUMENT_REQUIRED,
     check_width: bool = True,
+    start: datetime | None = None,
+    end: datetime | None = None,
 ) -> DataFrame:
-    """:func:`parse_documents` over text files."""
-    return parse_documents(spark.read.text(path), taxonomy, require, check_width)
+    """:func:`parse_documents` over text files, of all times or some (:func:`time_glob`)."""
+    lines = spark.read.text(time_glob(path, start, end))
+    return parse_documents(lines, taxonomy, require, check_width)
 
 
 def register_views(
