@@ -373,3 +373,24 @@ def test_graph_recall():
     assert (found & true).sum() >= 0.98 * true.sum()
     assert not (found & ~(x @ x.T >= 0.9499)).any()
     assert len(Graph(x[:0]).within(x[:3], 0.95, 8)[0]) == 0
+
+
+def test_a_searcher_that_finds_only_the_vector_itself_fails_the_audit():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 16))
+    x[1000:1010] = x[:10] + 0.01 * rng.normal(size=(10, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    outside = x[:40] + 0.001 * rng.normal(size=(40, 16))
+    ids, known = np.arange(10_000, 10_040), np.arange(2000)
+
+    class Blind(Graph):
+        def within(self, queries, least, width):
+            best = np.argmax(queries @ self.x.T, axis=1)
+            alike = (queries * self.x[best]).sum(axis=1) > 0.999999
+            return np.flatnonzero(alike), best[alike]
+
+    asked = outside / np.linalg.norm(outside, axis=1, keepdims=True)
+    assert vector_dedup._audit(Graph(x), known, x, ids, asked) == vector_dedup.BEAM
+    assert vector_dedup._audit(Blind(x), known, x, ids, asked) >= len(x)
+    # Without any true pair there is nothing to find.
+    assert vector_dedup._audit(Blind(x[:1000]), known[:1000], x[:1000], known[:5], x[:5]) == vector_dedup.BEAM
