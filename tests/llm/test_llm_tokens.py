@@ -114,6 +114,16 @@ def test_files_edges(spark):
     assert described(spark, docs.limit(0)) == []
 
 
+def test_only_the_list_of_files_is_sent_to_all(spark):
+    """Ids come out of a small list of files, so Spark takes them for the smaller side."""
+    prepare(spark)
+    docs = spark.createDataFrame([(i, "some words " * i) for i in range(40)], "doc_id long, text string")
+    out = seekable_ids.encode_to_files(spark, docs, TOKENIZER, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sent = plan.split("BroadcastHashJoin")[1:]
+    assert sent and all("BuildRight" in part.splitlines()[0] for part in sent)
+
+
 class Stream(io.BytesIO):
     def size(self):
         return len(self.getvalue())

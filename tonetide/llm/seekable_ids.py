@@ -25,6 +25,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -74,12 +75,15 @@ def encode_texts(model, name: str, texts: list[str]) -> list[bytes]:
         for space in "\t\n\x0b\x0c\r":
             text = text.replace(space, " ")
         split.append(text.split(" "))
-    fresh = list({w for words in split for w in words if w not in known})
+    distinct = set().union(*split)
+    ids = {w: known[w] for w in distinct if w in known}
+    fresh = [w for w in distinct if w not in ids]
     new = {
-        w: np.array(e.ids, "<u4").tobytes()
+        w: array("I", e.ids).tobytes()
         for w, e in zip(fresh, model.encode_batch_fast(fresh, add_special_tokens=False), strict=True)
     }
-    out = [b"".join([known[w] if w in known else new[w] for w in words]) for words in split]
+    ids.update(new)
+    out = [b"".join(map(ids.__getitem__, words)) for words in split]
     room = CACHE_PIECES - len(known)
     if room > 0:
         known.update([(w, v) for w, v in new.items() if len(w) <= CACHE_CHARS][:room])
@@ -255,7 +259,9 @@ def encode_to_files(spark: SparkSession, docs: DataFrame, tokenizer: str, files:
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     base = written.select("file", "path", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
     back = read_ids(written.repartition(files, "file"), folder)
-    return back.join(base, "file").select(
+    # Spark takes the ids for small, as it sizes them by the list of files; that list, one row
+    # a file, is what may be sent to all.
+    return back.join(F.broadcast(base), "file").select(
         "doc_id",
         (F.col("base") + F.col("first")).alias("start"),
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
