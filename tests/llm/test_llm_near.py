@@ -238,6 +238,21 @@ def test_pieces_held_by_earlier_documents(spark):
     assert _passages(spark, docs) == [(11, 10, 0, 120)]
 
 
+def test_runs_held_first_by_documents_with_less_of_the_passage(spark, monkeypatch):
+    """All long runs of a passage are in earlier documents, each with less than 50 words of it."""
+    prepare(spark)
+    rng = random.Random(9)
+    for words in (50, 64):
+        passage = _fresh(rng, words)
+        docs = {i: _fresh(rng, 40) + passage[i : i + 49] + _fresh(rng, 40) for i in range(0, words - 48)}
+        docs |= {80: _fresh(rng, 50) + passage + _fresh(rng, 9), 81: passage + _fresh(rng, 50)}
+        docs |= {82: _fresh(rng, 7) + passage}
+        for hot in (5_000, 4):
+            monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
+            found = [p for p in _passages(spark, docs) if p[1] == 80]
+            assert found == [(81, 80, 0, words), (82, 80, 7, 7 + words)]
+
+
 def test_a_passage_in_a_third_of_all_documents(spark, monkeypatch):
     prepare(spark)
     rng = random.Random(5)
