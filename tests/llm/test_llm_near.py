@@ -253,6 +253,14 @@ def test_runs_held_first_by_documents_with_less_of_the_passage(spark, monkeypatc
             assert found == [(81, 80, 0, words), (82, 80, 7, 7 + words)]
 
 
+def test_equal_runs_that_touch_are_one():
+    assert substring_dedup.joined([(7, 30, 65), (0, 0, 35), (7, 0, 45), (0, 41, 76)]) == [
+        (0, 0, 35),
+        (0, 41, 76),
+        (7, 0, 65),
+    ]
+
+
 def test_a_passage_in_a_third_of_all_documents(spark, monkeypatch):
     prepare(spark)
     rng = random.Random(5)
