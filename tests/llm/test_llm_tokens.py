@@ -85,6 +85,42 @@ def test_words_one_by_one_equal_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == want, repr(text)
 
 
+def test_runs_one_by_one_equal_whole_texts():
+    """Marks, digits, apostrophes, letters of all kinds and combining marks beside each other."""
+    model, rng = seekable_ids._encoder(TOKENIZER), random.Random(7)
+    around = [chr(c) for c in [*range(0x250), 0x300, 0x307, 0x308, 0x338, 0x3A3, 0x2019, 0x2028, 0x212A]]
+    pools = [around, around[:128], around[:0x180], list("'stremvldT<|>= AB0\t\n,."), list("TtIi'\u0307\u0308 s")]
+    texts = ["".join(rng.choices(rng.choice(pools), k=rng.randrange(25))) for _ in range(4000)]
+    texts += ["<|endoftext|> x<|startoftext|>", "don't DON'T we'LL 'sthat $$'s ''s 's's", "'", "'s", None, ""]
+    texts += [f"A{chr(c)}b{chr(c)} {chr(c)}'s,{chr(c)}9" for c in range(0x3000)]
+    whole = [model.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for text, want, got in zip(texts, whole, seekable_ids.encode_texts(model, "r", texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == want, repr(text)
+
+
+def test_library_gets_each_run_once():
+    class Counting:
+        def __init__(self, model):
+            self.model, self.chars = model, 0
+
+        def get_vocab(self):
+            return self.model.get_vocab()
+
+        def encode_batch_fast(self, texts, **options):
+            self.chars += sum(map(len, texts))
+            return self.model.encode_batch_fast(texts, **options)
+
+    library = seekable_ids._encoder(TOKENIZER)
+    model = Counting(library)
+    marks = [a + b for a in "(\"#$%" for b in ",.;:!?)"]
+    texts = [" ".join(f"{mark}{word}{mark[::-1]}" for mark in marks) for word in ("Tone", "tone", "TIDE", "caf\u00e9")]
+    got = seekable_ids.encode_texts(model, "once", texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    assert model.chars < sum(map(len, texts)) / 3
+
+
 def brute_files(rows):
     model = seekable_ids._encoder(TOKENIZER)
     start, out = 0, []

@@ -22,11 +22,13 @@ equal one.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tonetide.llm.common import ids_of, keep, new_folder, pieces
+from tonetide.llm.common import ids_of, keep, new_folder, offsets, pieces
 
 MAGIC = b"TTIDS001"
 FOOTER = struct.Struct("<QQII8s")
@@ -45,12 +47,30 @@ FRAME = np.dtype([("offset", "<u8"), ("size", "<u4"), ("crc", "<u4")])
 # A frame is closed at the end of the document that takes it past this many ids.
 FRAME_IDS = 1 << 16
 END_ID = 2
-# Word pieces a task remembers; more are encoded again when they come again.
+# Runs and words a task remembers; more are encoded again when they come again.
 CACHE_PIECES = 300_000
-# Longer pieces are never remembered.
+# Longer ones are never remembered.
 CACHE_CHARS = 64
+# Runs the library gets as one text.
+TOGETHER = 256
+
+# Letters besides a-z whose kind, lower case and normal form are beyond doubt; in UTF-8
+# they begin with C3 to C5. A word of other characters goes to the library as a whole.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_OTHER = re.compile(rf"[^\x20-\x7E\x09-\x0D{_LATIN}]")
+_GAP, _MARK, _LETTER, _DIGIT = range(4)
+_KIND = np.full(256, _MARK, np.uint8)
+_KIND[[0x20, 9, 10, 11, 12, 13]] = _GAP
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _KIND[0x80:] = _LETTER
+_ODD = np.zeros(256, bool)
+_ODD[:0x20] = _ODD[0x7F] = _ODD[0xC0:0xC3] = _ODD[0xC6:] = True
+_ODD[9:14] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
 
 _cache: dict[str, dict[str, bytes]] = {}
+_last: dict[str, np.ndarray] = {}
 
 
 def _encoder(tokenizer: str):
@@ -62,32 +82,112 @@ def _encoder(tokenizer: str):
     return model
 
 
-def encode_texts(model, name: str, texts: list[str]) -> list[bytes]:
-    """Ids of whole texts as little-endian unsigned 32-bit integers.
+def _ids(model, texts: list[str]) -> list[bytes]:
+    """Ids of each text, by the library."""
+    coded = model.encode_batch_fast(texts, add_special_tokens=False)
+    return [array("I", e.ids).tobytes() for e in coded]
+
+
+def _ids_of_runs(model, name: str, runs: list[str]) -> list[bytes]:
+    """Ids of each run; the library gets many as one text, as each ends in a token of its own kind."""
+    if name not in _last:
+        vocab = model.get_vocab()
+        _last[name] = np.zeros(max(vocab.values()) + 1, bool)
+        _last[name][[n for token, n in vocab.items() if token.endswith("</w>")]] = True
+    out: list[bytes] = []
+    together = [runs[i : i + TOGETHER] for i in range(0, len(runs), TOGETHER)]
+    texts = [" ".join(part) for part in together]
+    for part, ids in zip(together, _ids(model, texts), strict=True):
+        to = (np.flatnonzero(_last[name][np.frombuffer(ids, "<u4")]) + 1) * 4
+        if len(to) != len(part) or to[-1] != len(ids):
+            out += _ids(model, part)
+            continue
+        to = to.tolist()
+        out += [ids[low:high] for low, high in zip([0, *to], to)]
+    return out
+
+
+def runs_of(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """What the tokenizer encodes by itself, in turn, and where in that each text begins.
 
-    For tokenizers that drop white space and never merge across it, which is
-    tested for the given vocabulary: a text's ids are those of its words in turn,
-    so the library encodes each distinct word once.
+    Runs of letters, single digits, runs of other marks, and a lone apostrophe with the
+    s, t, re, ve, m, ll or d behind it; A-Z in lower case. A word with a character other
+    than ASCII and ``_LATIN`` stays whole and as it is.
+    """
+    at = offsets(texts)
+    if at[-1] == at[0]:
+        return pa.array([], pa.string()), np.zeros(len(at), np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    kind = _KIND[data]
+    ink = kind != _GAP
+    last = np.concatenate([[np.uint8(_GAP)], kind[:-1]])
+    last[edge[:-1]] = _GAP
+    starts = ink & ((kind != last) | (kind == _DIGIT))
+    low = _LOWER[data]
+
+    quote = np.flatnonzero((data == ord("'")) & (last != _MARK))
+    # Zeros after the end of a text keep what is read there from being a letter.
+    ends = np.flatnonzero(edge)[np.searchsorted(np.flatnonzero(edge), quote, side="right")]
+    ahead = [
+        np.where(quote + n < ends, low[np.minimum(quote + n, len(low) - 1)], 0) for n in (1, 2)
+    ]
+    one = np.isin(ahead[0], np.frombuffer(b"stmd", np.uint8))
+    two = np.isin(ahead[0], np.frombuffer(b"rv", np.uint8)) & (ahead[1] == ord("e"))
+    two |= (ahead[0] == ord("l")) & (ahead[1] == ord("l"))
+    starts[quote[one | two] + 1] = False
+    behind = np.concatenate([quote[one] + 2, quote[two] + 3])
+    behind = behind[behind < len(data)]
+    starts[behind] = ink[behind]
+
+    odd = _ODD[data]
+    for lead, follow in ((0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0)):
+        odd[:-1] |= (data[:-1] == lead) & (data[1:] == follow)
+    if odd.any():
+        begins = ink & (last == _GAP)
+        word = np.cumsum(begins) - 1
+        whole = np.zeros(word[-1] + 1, bool)
+        whole[word[odd]] = True
+        inside = ink & whole[word]
+        starts[inside] = begins[inside]
+        low = np.where(inside, data, low)
+
+    first = np.flatnonzero(starts)
+    letters = low[ink]
+    to = np.append(np.flatnonzero(starts[ink]), len(letters)).astype(np.int32)
+    runs = pa.StringArray.from_buffers(len(first), pa.py_buffer(to), pa.py_buffer(letters))
+    return runs, np.searchsorted(first, at)
+
+
+def encode_texts(model, name: str, texts: pa.StringArray | list[str]) -> list[bytes]:
+    """Ids of whole texts as little-endian unsigned 32-bit integers; null counts as empty.
+
+    For tokenizers that drop white space, lower the case, split as ``runs_of`` does and end
+    each run in a token with ``</w>``, which is tested for the given vocabulary: a text's
+    ids are those of its runs in turn, so the library encodes each distinct run once.
     """
     known = _cache.setdefault(name, {})
-    split = []
-    for text in texts:
-        for space in "\t\n\x0b\x0c\r":
-            text = text.replace(space, " ")
-        split.append(text.split(" "))
-    distinct = set().union(*split)
-    ids = {w: known[w] for w in distinct if w in known}
-    fresh = [w for w in distinct if w not in ids]
-    new = {
-        w: array("I", e.ids).tobytes()
-        for w, e in zip(fresh, model.encode_batch_fast(fresh, add_special_tokens=False), strict=True)
-    }
-    ids.update(new)
-    out = [b"".join(map(ids.__getitem__, words)) for words in split]
+    runs, first = runs_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+    coded = runs.dictionary_encode()
+    distinct, order = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    fresh = [w for w in distinct if w not in known]
+    whole = [w for w in fresh if _OTHER.search(w)]
+    plain = [w for w in fresh if not _OTHER.search(w)]
+    new = dict(zip(plain, _ids_of_runs(model, name, plain), strict=True))
+    new.update(zip(whole, _ids(model, whole), strict=True))
+    ids = [new[w] if w in new else known[w] for w in distinct]
     room = CACHE_PIECES - len(known)
     if room > 0:
         known.update([(w, v) for w, v in new.items() if len(w) <= CACHE_CHARS][:room])
-    return out
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    begin = np.cumsum(size) - size
+    sizes = size[order]
+    to = np.append(0, np.cumsum(sizes))
+    flat = flat[np.repeat(begin[order] - to[:-1], sizes) + np.arange(to[-1])]
+    return [flat[low:high].tobytes() for low, high in pairwise(to[first].tolist())]
 
 
 class Writer:
@@ -192,8 +292,7 @@ def write_ids(
         with fs.open_output_stream(attempt) as stream:
             writer = Writer(stream)
             for batch in pieces(batches):
-                texts = [text or "" for text in batch.column(1).to_pylist()]
-                coded = encode_texts(model, tokenizer, texts)
+                coded = encode_texts(model, tokenizer, batch.column(1))
                 for doc_id, ids in zip(ids_of(batch).tolist(), coded, strict=True):
                     writer.add(doc_id, ids + end)
             writer.finish()
