@@ -5,15 +5,16 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from tonetide.llm import hyperminhash, substring_dedup, vector_dedup
+from tonetide.llm import common, hyperminhash, substring_dedup, vector_dedup
 from tonetide.llm.common import prepare
 from tonetide.llm.graph import components
 from tonetide.llm.hnsw import Graph
-from tonetide.llm.words import shingle_set
+from tonetide.llm.words import mix, shingle_set, windows
 
 DOC = "doc_id long, text string, lang string, seed string, n_shingles string"
 
@@ -334,6 +335,50 @@ def test_cut_texts(spark):
     assert substring_dedup.without_repeats(docs.limit(0)).collect() == []
 
 
+def test_tables_and_shuffles_go_when_they_are_used(spark, tmp_path, monkeypatch):
+    """Nothing but the result stays of what the search for passages wrote."""
+    rng = random.Random(21)
+    passage = " ".join(f"p{rng.randrange(999)}" for _ in range(80))
+    texts = [" ".join(f"w{i}x{n}" for n in range(40)) + " " + passage for i in range(6)]
+    docs = prepare(spark).createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f for f in files.getAllFiles().mkString(" ").split() if "shuffle_" in f}
+
+    spark._jvm.System.gc()
+    before = shuffles()
+    found = substring_dedup.repeated_passages(docs)
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} <= {"aligned", "several_texts"}
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert sorted((r.doc_id, r.source_id, r.equal_words) for r in found.collect()) == [
+        (i, 0, 80) for i in range(1, 6)
+    ]
+    assert spark.conf.get(common._SHUFFLES_GO, None) != "true"
+
+
+def test_runs_of_words_are_sums_with_powers():
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 2**64, 90, np.uint64)
+    for k in (1, 2, 3, 5, 7, 40, 50, 90, 91):
+        want = [
+            sum(int(h) * pow(0x9E3779B97F4A7C15, j, 2**64) for j, h in enumerate(hashes[i : i + k].tolist()))
+            for i in range(len(hashes) - k + 1)
+        ]
+        assert windows(hashes, k).tolist() == mix(np.array([w % 2**64 for w in want], np.uint64)).tolist()
+
+
+def test_matches_in_line_equal_the_tree():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = sorted(rng.sample(range(rng.choice((40, 300, 900))), rng.randrange(1, 30)))
+        assert substring_dedup._in_line(a) == substring_dedup._in_both(a, [x + 7 for x in a])
+
+
 def test_chains_rise_in_both_texts():
     rng = random.Random(7)
     for _ in range(30):
