@@ -256,6 +256,28 @@ def test_runs_held_first_by_documents_with_less_of_the_passage(spark, monkeypatc
             assert found == [(81, 80, 0, words), (82, 80, 7, 7 + words)]
 
 
+def test_alike_passages_whose_pieces_earlier_documents_hold(spark, monkeypatch):
+    """No 40 words in a row are equal, and every seed is first in a document with less of the passage."""
+    prepare(spark)
+    rng = random.Random(41)
+    common = _fresh(rng, 24)
+    passage = _fresh(rng, 8) + common + _fresh(rng, 88)
+    docs = {i: _fresh(rng, 40) + passage[22 * i : 22 * i + 34] + _fresh(rng, 40) for i in range(5)}
+    docs |= {i: _fresh(rng, 20) + common + _fresh(rng, 30) for i in range(20, 30)}
+    docs[40] = _fresh(rng, 50) + passage
+    for i in (41, 42):
+        copy = list(passage)
+        for k in range(i - 26, 110, 17):
+            copy[k] = f"z{i}x{k}"
+        docs[i] = _fresh(rng, 9) + copy + _fresh(rng, 50)
+    # The same words once more around the line that all have in common.
+    docs[43] = _fresh(rng, 5) + docs[29][5:70] + _fresh(rng, 9)
+    docs[43][50] = "other"
+    for few in (64, 4, 1):
+        monkeypatch.setattr(substring_dedup, "FEW", few)
+        assert _passages(spark, docs) == [(41, 40, 9, 129), (42, 40, 9, 129), (43, 29, 5, 70)]
+
+
 def test_equal_runs_that_touch_are_one():
     assert substring_dedup.joined([(7, 30, 65), (0, 0, 35), (7, 0, 45), (0, 41, 76)]) == [
         (0, 0, 35),
