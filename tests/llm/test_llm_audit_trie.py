@@ -11,9 +11,10 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
-from tonetide.llm import filter_audit, prefix_trie, queries
+from tonetide.llm import common, filter_audit, prefix_trie, queries
 from tonetide.llm.common import prepare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -115,6 +116,32 @@ def test_audit_of_nothing_and_of_one_long_text(spark):
     assert audited(spark, docs, []) == brute_audit(docs, [])
 
 
+def test_a_task_does_not_hold_all_shards_it_writes_or_reads(spark, tmp_path, monkeypatch):
+    """All shards of a partition were one row group, which is written and read as a whole."""
+    prepare(spark)
+    text = "concat_ws(' ', transform(sequence(1, 60000), x -> concat('w', hash(id, x) % 50000)))"
+    docs = spark.range(0, 120, 1, 1).selectExpr("id AS doc_id", f"{text} AS text", "'en' AS lang")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    rows = filter_audit.audit(docs, labels).where("filter_order = 'ABCDE' AND step = 1").collect()
+    assert [(r.kept, r.removed) for r in rows] == [(120, 0)]
+    (file,) = tmp_path.glob("shards-*/*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    sizes = [groups.row_group(n).total_byte_size for n in range(groups.num_row_groups)]
+    assert len(sizes) > 1 and max(sizes) < 14 << 20
+
+
+def test_flags_come_from_the_task_that_made_the_matrix(spark, sf_dir):
+    """One Python worker a task, and the same flags as of the matrix by itself."""
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    shards = filter_audit.keep(filter_audit.local_shards(docs.repartition(5)))
+    numbers = filter_audit.number_words(shards)
+    flags = filter_audit.row_flags_of_shards(shards, numbers)
+    assert flags._jdf.queryExecution().executedPlan().toString().count("InArrow") == 2
+    want = filter_audit.row_flags(filter_audit.csr_shards(shards, numbers))
+    assert sorted(map(str, flags.collect())) == sorted(map(str, want.collect()))
+
+
 def test_matrix_holds_the_words_of_every_text(spark):
     docs = [(1, "b a b", "en"), (2, "", "en"), (3, "c a", "de")]
     table = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)

@@ -46,6 +46,13 @@ SYMBOLS = b"#$%&*|"
 # Texts of one shard, in bytes and rows; a longer text is a shard of its own.
 SHARD_BYTES = 12 << 20
 SHARD_ROWS = 16_384
+# A row group of written shards ends once it has so many bytes. Parquet's own rule looks after
+# 100 rows, and a task that writes or reads that many shards holds them all at a time.
+_GROUPS = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+}
 
 _ROWS = (
     "doc_ids array<long>, langs array<string>, digests array<binary>, "
@@ -143,6 +150,9 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(text)
     if rows:
         yield _shard(number, rows)
+        # The worker lives on beside those of the next stage.
+        del rows, batch, texts, raw
+        pa.default_memory_pool().release_unused()
 
 
 def number_words(shards: DataFrame, spell: bool = False) -> DataFrame:
@@ -219,9 +229,12 @@ def csr_shards(shards: DataFrame, numbers: DataFrame) -> DataFrame:
 
     What meets in a task is one shard and the numbers of its words.
     """
+    return _with_numbers(shards, numbers).applyInArrow(_renumber, CSR_SCHEMA)
+
+
+def _with_numbers(shards: DataFrame, numbers: DataFrame):
     own = shards.drop("words").groupBy("shard")
-    found = numbers.where("shard IS NOT NULL").drop("words").groupBy("shard")
-    return own.cogroup(found).applyInArrow(_renumber, CSR_SCHEMA)
+    return own.cogroup(numbers.where("shard IS NOT NULL").drop("words").groupBy("shard"))
 
 
 def _values(batch, name: str, row: int) -> pa.Array:
@@ -253,6 +266,21 @@ def row_flags(csr: DataFrame) -> DataFrame:
     return csr.mapInArrow(_row_flags, FLAGS_SCHEMA)
 
 
+def row_flags_of_shards(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``row_flags`` of ``csr_shards``, each piece of the matrix read by the task that made it.
+
+    Two operators in a row have a Python worker each, so that a task holds a piece of the matrix
+    in both and in the executor between them.
+    """
+    return _with_numbers(shards, numbers).applyInArrow(_renumber_and_flag, FLAGS_SCHEMA)
+
+
+def _renumber_and_flag(shard: pa.Table, numbers: pa.Table) -> pa.Table:
+    flags = pa.Table.from_batches(_row_flags(iter(_renumber(shard, numbers).to_batches())))
+    pa.default_memory_pool().release_unused()
+    return flags
+
+
 def _row_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in map(lambda b: pa.Table.from_batches([b]), batches):
         for row in range(batch.num_rows):
@@ -366,8 +394,8 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Columns: ``part``, ``filter_order``, ``step``, ``kept``, ``removed``, ``redundant``,
     ``unique_fails``, ``good_lost``, ``toxic_lost``, ``shapley``.
     """
-    shards = keep(local_shards(docs), "shards", compression="zstd")
-    flags = keep(row_flags(csr_shards(shards, number_words(shards))), "flags")
+    shards = keep(local_shards(docs), "shards", compression="zstd", **_GROUPS)
+    flags = keep(row_flags_of_shards(shards, number_words(shards)), "flags")
     return all_orders(keep(failure_patterns(flags, labels), "patterns"))
 
 
